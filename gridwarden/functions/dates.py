@@ -21,11 +21,15 @@ def to_utc(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
 
 
 def to_day(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
+    """The calendar day as written; a time of day or an offset after it does not move it."""
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("date")
-    return to_utc(df, name, formats).cast("date")
+    text = c.cast("string")
+    return F.coalesce(
+        text.try_cast("date"), *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
+    )
 
 
 def day_text(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
-    return F.date_format(to_day(df, name, formats), "yyyy-MM-dd")
+    return to_day(df, name, formats).cast("string")

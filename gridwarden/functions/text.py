@@ -9,9 +9,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The code points Python's str.strip() treats as white space (Java's \s is ASCII only).
-WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-NON_ASCII = r"[^\x00-\x7f]"
+# Every white-space character of Unicode; Spark's own trim knows only the blank.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Outcome terms, German and English.
 FIXED_OUTCOMES = ("fehler behoben", "problem behoben", "problem fixed", "fixed")
@@ -26,7 +25,7 @@ NULL_TOKENS = (
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def blank_if_null(c: Column) -> Column:
@@ -60,9 +59,11 @@ def fold_to_ascii(c: Column) -> Column:
     expanded = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(expansions, ch), ch)), ""
     )
-    wide = F.when(c.rlike(f"[{many}]"), expanded).otherwise(c)
-    folded = F.regexp_replace(F.translate(wide, source, target), NON_ASCII, "")
-    return F.when(c.rlike(NON_ASCII), folded).otherwise(c)
+    # a translate is a hash lookup per character; a regex class of this size is a long chain of tests
+    has_many = F.char_length(F.translate(c, many, "")) < F.char_length(c)
+    wide = F.when(has_many, expanded).otherwise(c)
+    folded = F.regexp_replace(F.translate(wide, source, target), r"[^\x00-\x7f]+", "")
+    return F.when(F.octet_length(c) > F.char_length(c), folded).otherwise(c)
 
 
 def normalize_text(c: Column) -> Column:

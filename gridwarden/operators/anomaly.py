@@ -26,9 +26,6 @@ BASELINE_DAYS = 28
 RECENT_DAYS = 7
 SIGMA = 3.0
 
-# How many ways the rows of one gateway and week are spread for the threshold join (a power of two).
-SALTS = 8
-
 REASON_MODES = ("first_reading", "first_breach")
 
 
@@ -145,19 +142,30 @@ def _thresholds(stats: DataFrame, width: int, sigma: float, floor: float | None)
     return stats.where("first_ts is not null").selectExpr("k", "week_start", "first_ts", *limits)
 
 
-def _flagged(rows: DataFrame, thresholds: DataFrame, grid: WeekGrid, width: int) -> DataFrame:
+def _salts(df: DataFrame) -> int:
+    """How many ways the rows of one gateway and week are spread: a power of two that grows with
+    the cluster's shuffle width."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4
+    return max(8, min(256, 1 << max(wanted, 1).bit_length() - 1))
+
+
+def _flagged(
+    rows: DataFrame, thresholds: DataFrame, grid: WeekGrid, width: int, keep_silent: bool = False
+) -> DataFrame:
     """Recent rows with ``flag0..``, their sum ``flags`` and the first flagged position ``hit``.
 
     The salt spreads a busy gateway's week over tasks. The threshold side has one row per key, week
-    and salt, so it is the safe hash-build side and the raw rows need no sort.
+    and salt, so it is the safe hash-build side and the raw rows need no sort. ``keep_silent`` also
+    keeps the gateways that have none of ``rows``, as rows without flags.
     """
+    salts = _salts(rows)
     # No filter on the week here: rows of no scored week match no threshold. A filter would make
     # this use of deduplicated rows differ from the statistics' use, and cost a second shuffle.
     recent = rows.selectExpr("*", f"{grid.bucket('ts')} as bucket").selectExpr(
-        "*", f"{grid.recent_week('bucket')} as week_start", f"xxhash64(ts) & {SALTS - 1} as salt"
+        "*", f"{grid.recent_week('bucket')} as week_start", f"xxhash64(ts) & {salts - 1} as salt"
     )
-    spread = thresholds.selectExpr("*", f"explode(sequence(0L, {SALTS - 1}L)) as salt")
-    joined = recent.join(spread.hint("shuffle_hash"), ["k", "week_start", "salt"])
+    spread = thresholds.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as salt").hint("shuffle_hash")
+    joined = recent.join(spread, ["k", "week_start", "salt"], "right" if keep_silent else "inner")
     flags = joined.selectExpr(
         "*", *[f"coalesce(cast(x{i} > limit{i} as int), 0) as flag{i}" for i in range(width)]
     )
@@ -225,14 +233,10 @@ def score_weeks(
         candidates = rows.where(" or ".join(f"x{i} > {floor!r}d" for i in range(width)))
     elif not order:
         candidates = rows.where(grid.recent_range("ts", rows.schema["ts"].dataType.simpleString()))
-    flagged = _flagged(candidates, thresholds, grid, width)
+    flagged = _flagged(candidates, thresholds, grid, width, keep_silent=floor is not None)
     if reason_mode == "first_breach":
         hit = "min(if(hit is null, null, struct(ts, hit))).hit as hit"
     else:
         hit = "min(if(ts = first_ts, hit, null)) as hit"
     scores = flagged.groupBy("k", "week_start").agg(*_exprs(["sum(flags) as score", hit]))
-    if floor is not None:
-        scores = thresholds.select("k", "week_start").join(scores, ["k", "week_start"], "left")
-    return scores.selectExpr(
-        "week_start", f"k as `{key}`", "coalesce(score, 0) as score", _metric_name(metrics)
-    )
+    return scores.selectExpr("week_start", f"k as `{key}`", "score", _metric_name(metrics))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import drop_all_null_columns, require_columns
 from ..functions.ids import clean_id
 from ..functions.text import binary_target
+from ..session import cut_lineage
 from .dedup import keep_by_key
 
 
@@ -31,11 +32,15 @@ def training_table(
 ) -> DataFrame:
     """Features of the labelled gateways plus ``target``.
 
-    Dropping all-null columns runs one aggregation; ``check`` also raises if nothing matches.
+    Which columns are all null and (with ``check``, an error) whether anything matched depend on
+    the data. For these the joined table, one row per labelled gateway, is checkpointed first, so
+    that the features are computed once.
     """
     require_columns(features, ["gateway_id"], "Features table")
     keyed = features.withColumn("gateway_key", clean_id(F.col("gateway_id")))
     joined = keyed.join(labels, "gateway_key", "inner").drop("gateway_key")
+    if check or drop_empty_columns:
+        joined = cut_lineage(joined)
     if check and joined.isEmpty():
         raise ValueError("No matching gateways found between features and reviews")
     return drop_all_null_columns(joined) if drop_empty_columns else joined

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -37,3 +39,21 @@ def require_utc(df: DataFrame, ts: str) -> None:
         zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
         if zone not in UTC_NAMES:
             raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the session's checkpoint folder, so that later jobs neither
+    recompute them nor depend on executors staying alive.
+
+    A cluster names the folder in ``spark.checkpoint.dir``. Only a local session without one gets a
+    temporary folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a shared folder")
+            folder = tempfile.mkdtemp(prefix="gridwarden-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)

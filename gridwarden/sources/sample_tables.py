@@ -6,11 +6,12 @@ cleaning operators have something to do.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.weeks import mondays
-from datetime import date
 
 # The Mondays with data before them in the sample events.
 SAMPLE_WEEKS = tuple(mondays(date(2024, 1, 8), 4))
@@ -24,6 +25,10 @@ def hex_id(c: Column) -> Column:
     return F.lpad(F.hex(c), 12, "0")
 
 
+def day(c: Column) -> Column:
+    return c.cast("date").cast("string")
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as clean telemetry; ``event_id`` is the row order."""
     events = table(spark, sf_dir, "events")
@@ -75,8 +80,8 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string")).alias("visit_id"),
         hex_id(F.col("l_suppkey")).alias("gateway_id"),
-        F.when(line == 5, F.lit("soon")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("requested_on"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("visited_on"),
+        F.when(line == 5, F.lit("soon")).otherwise(day(F.col("o_orderdate"))).alias("requested_on"),
+        day(F.col("l_shipdate")).alias("visited_on"),
         F.col("o_orderpriority").alias("reason_reported"),
         F.when(F.col("l_returnflag") == "R", F.lit(" Fehler  behöben "))
         .when(F.col("l_returnflag") == "A", F.lit("Kein Fehler gefunden"))
@@ -93,7 +98,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def meter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     return lines.select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("week_start"),
+        day(F.col("l_shipdate")).alias("week_start"),
         hex_id(F.col("l_suppkey")).alias("gateway_id"),
         F.round(F.col("l_tax") * 100).cast("bigint").alias("meters_expected"),
         F.round(F.col("l_discount") * 100).cast("bigint").alias("meters_read"),
