@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import require_utc
+from ..session import cut_lineage, require_utc
 from .dedup import keep_by_key
 from .weeks import NO_WEEK, WeekGrid, week_grid
 
@@ -28,6 +28,9 @@ SIGMA = 3.0
 
 REASON_MODES = ("first_reading", "first_breach")
 
+# Thresholds are broadcast only when counted to be at most this many rows (some 100 bytes each).
+BROADCAST_ROWS = 500_000
+
 
 def _exprs(parts: Sequence[str]) -> list[Column]:
     return [F.expr(p) for p in parts]
@@ -150,22 +153,33 @@ def _salts(df: DataFrame) -> int:
 
 
 def _flagged(
-    rows: DataFrame, thresholds: DataFrame, grid: WeekGrid, width: int, keep_silent: bool = False
+    rows: DataFrame,
+    thresholds: DataFrame,
+    grid: WeekGrid,
+    width: int,
+    keep_silent: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Recent rows with ``flag0..``, their sum ``flags`` and the first flagged position ``hit``.
 
-    The salt spreads a busy gateway's week over tasks. The threshold side has one row per key, week
-    and salt, so it is the safe hash-build side and the raw rows need no sort. ``keep_silent`` also
+    ``small`` thresholds are broadcast and the raw rows stay where they are. Otherwise a salt
+    spreads a busy gateway's week over tasks; the threshold side has one row per key, week and
+    salt, so it is the safe hash-build side and the raw rows need no sort. ``keep_silent`` also
     keeps the gateways that have none of ``rows``, as rows without flags.
     """
-    salts = _salts(rows)
     # No filter on the week here: rows of no scored week match no threshold. A filter would make
     # this use of deduplicated rows differ from the statistics' use, and cost a second shuffle.
     recent = rows.selectExpr("*", f"{grid.bucket('ts')} as bucket").selectExpr(
-        "*", f"{grid.recent_week('bucket')} as week_start", f"xxhash64(ts) & {salts - 1} as salt"
+        "*", f"{grid.recent_week('bucket')} as week_start"
     )
-    spread = thresholds.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as salt").hint("shuffle_hash")
-    joined = recent.join(spread, ["k", "week_start", "salt"], "right" if keep_silent else "inner")
+    if small:
+        joined = recent.join(F.broadcast(thresholds), ["k", "week_start"])
+    else:
+        salts = _salts(rows)
+        spread = thresholds.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as salt")
+        joined = recent.selectExpr("*", f"xxhash64(ts) & {salts - 1} as salt").join(
+            spread.hint("shuffle_hash"), ["k", "week_start", "salt"], "right" if keep_silent else "inner"
+        )
     flags = joined.selectExpr(
         "*", *[f"coalesce(cast(x{i} > limit{i} as int), 0) as flag{i}" for i in range(width)]
     )
@@ -212,6 +226,8 @@ def score_weeks(
     order: Sequence[str] = (),
     reason_mode: str = "first_reading",
     floor: float | None = None,
+    measure: bool = False,
+    derived: bool = False,
 ) -> DataFrame:
     """``week_start, key, score, metric`` for every key with at least one recent row.
 
@@ -220,6 +236,12 @@ def score_weeks(
     flagged row. ``floor`` declares a lower bound of all readings: rows that sit on it in every
     metric cannot be flagged and skip the join. A threshold below the floor disproves the claim
     and raises.
+
+    ``measure`` runs the thresholds as a job of their own, checkpoints and counts them, and
+    broadcasts them if they are few. Then no raw row is shuffled, provided ``order`` is not needed;
+    with it, one job that shares the deduplication is the better plan. ``derived`` says that the
+    telemetry is not a stored table but comes out of a shuffle (cleaning, say): both uses of it are
+    then kept identical, so that they share that shuffle, instead of cutting one to the recent days.
     """
     if reason_mode not in REASON_MODES:
         raise ValueError(f"unknown reason_mode {reason_mode!r}")
@@ -228,12 +250,17 @@ def score_weeks(
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
     stats = window_stats(bucket_moments(rows, grid, width), grid, width)
     thresholds = _thresholds(stats, width, sigma, floor)
+    small = False
+    if measure:
+        thresholds = cut_lineage(thresholds)
+        small = thresholds.count() <= BROADCAST_ROWS
     candidates = rows
-    if floor is not None:
-        candidates = rows.where(" or ".join(f"x{i} > {floor!r}d" for i in range(width)))
-    elif not order:
-        candidates = rows.where(grid.recent_range("ts", rows.schema["ts"].dataType.simpleString()))
-    flagged = _flagged(candidates, thresholds, grid, width, keep_silent=floor is not None)
+    if not order and not derived:
+        candidates = candidates.where(grid.recent_range("ts", rows.schema["ts"].dataType.simpleString()))
+    skip_floor = floor is not None and not small
+    if skip_floor:
+        candidates = candidates.where(" or ".join(f"x{i} > {floor!r}d" for i in range(width)))
+    flagged = _flagged(candidates, thresholds, grid, width, keep_silent=skip_floor, small=small)
     if reason_mode == "first_breach":
         hit = "min(if(hit is null, null, struct(ts, hit))).hit as hit"
     else:

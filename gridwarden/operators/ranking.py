@@ -67,10 +67,24 @@ def rank_weeks(
     order: Sequence[str] = (),
     reason_mode: str = "first_reading",
     floor: float | None = None,
+    measure: bool = False,
+    derived: bool = False,
 ) -> DataFrame:
-    """``week_start, rank, gateway_id, score, reason`` for all weeks in one job."""
+    """``week_start, rank, gateway_id, score, reason`` for all weeks at once; see ``score_weeks``."""
     scores = score_weeks(
-        telemetry, weeks, metrics, baseline_days, recent_days, sigma, key, ts, order, reason_mode, floor
+        telemetry,
+        weeks,
+        metrics,
+        baseline_days,
+        recent_days,
+        sigma,
+        key,
+        ts,
+        order,
+        reason_mode,
+        floor,
+        measure,
+        derived,
     )
     reason = reason_text(F.col("score"), F.col("metric"), reason_mode, baseline_days, recent_days, sigma)
     return top_per_week(scores, n, key).select(

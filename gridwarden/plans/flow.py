@@ -66,8 +66,8 @@ def run_flow(
     training = spark.read.parquet(f"{out}/training_data")
     sinks.write_csv(by_percent(compare_classes(training)), f"{out}/feature_comparison", single_file=True)
 
-    # counters are non-negative after cleaning, so readings of 0 need not reach the threshold join
-    ranking = rank_weeks(telemetry, weeks, n, floor=0.0).orderBy("week_start", "rank")
+    # counters are non-negative after cleaning, so readings of 0 need not reach a shuffled join
+    ranking = rank_weeks(telemetry, weeks, n, floor=0.0, measure=True).orderBy("week_start", "rank")
     sinks.write_csv(ranking, f"{out}/ranking", single_file=True)
     ranking = readers.read_csv(spark, f"{out}/ranking")
     return {

@@ -12,7 +12,7 @@ from ..functions.ids import canonical_id, clean_id
 from ..functions.numbers import non_negative, non_negative_or_null, number_or_zero
 from ..functions.text import normalize_text
 from ..operators import anomaly, cleaning, compare, dedup, features, labels, profile, ranking, validate
-from ..session import use_utc
+from ..session import cut_lineage, use_utc
 from ..sources import sample_tables as sample
 
 WEEKS = sample.SAMPLE_WEEKS
@@ -34,7 +34,7 @@ def weekly_rank_3sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_rank_first_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw telemetry, neither cleaned nor made unique; the reason names the first breach."""
-    return ranking.rank_weeks(sample.telemetry(spark, sf_dir), WEEKS, reason_mode="first_breach")
+    return ranking.rank_weeks(sample.telemetry(spark, sf_dir), WEEKS, reason_mode="first_breach", measure=True)
 
 
 def weekly_rank_sigma1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +46,7 @@ def weekly_rank_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaning, then the ranking with the floor that cleaning guarantees."""
     raw = sample.dirty_telemetry(spark, sf_dir).drop("source_file")
     clean = cleaning.clean_telemetry(raw, ("event_id", "copy"))
-    return ranking.rank_weeks(clean, WEEKS, sigma=1.5, floor=0.0)
+    return ranking.rank_weeks(clean, WEEKS, sigma=1.5, floor=0.0, derived=True)
 
 
 def weekly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +202,8 @@ def dq_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_ranking_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.validate(weekly_rank_3sigma(spark, sf_dir), WEEKS)
+    """The ranking is written once (checkpointed) and then checked, as a file would be."""
+    return validate.validate(cut_lineage(weekly_rank_3sigma(spark, sf_dir)), WEEKS)
 
 
 def validate_ranking_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +225,7 @@ def validate_ranking_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("reason"),
         F.lit(1).alias("note"),
     )
-    return validate.validate(bad, WEEKS)
+    return validate.validate(cut_lineage(bad), WEEKS)
 
 
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (

@@ -19,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "5000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

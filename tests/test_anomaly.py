@@ -91,6 +91,8 @@ def random_rows(seed, gateways=6, days=60, step_hours=5):
         {"baseline_days": 14, "recent_days": 14, "reason_mode": "first_breach", "sigma": 1.5},
         {"floor": 0.0, "sigma": 1.0},
         {"floor": 0.0, "reason_mode": "first_breach"},
+        {"measure": True, "sigma": 1.5},
+        {"measure": True, "floor": 0.0, "reason_mode": "first_breach", "sigma": 1.0},
     ],
 )
 def test_against_the_definition(spark, seed, options):
@@ -102,6 +104,17 @@ def test_against_the_definition(spark, seed, options):
     assert scores(frame(spark, rows).repartition(5), weeks, **options) == expected
 
 
+def test_many_thresholds_are_not_broadcast(spark, monkeypatch):
+    df = frame(spark, random_rows(3))
+    expected = scores(df, sigma=1.0)
+    few = anomaly.score_weeks(df, [MONDAY], sigma=1.0, measure=True)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(anomaly, "BROADCAST_ROWS", 2)
+    many = anomaly.score_weeks(df, [MONDAY], sigma=1.0, measure=True)
+    assert "ShuffledHashJoin" in many._jdf.queryExecution().executedPlan().toString()
+    assert scores(df, sigma=1.0, measure=True) == expected == scores(df, sigma=1.0, measure=True, floor=0.0)
+
+
 def test_window_edges(spark):
     """The baseline includes the recent days; both windows are half-open."""
     edges = {

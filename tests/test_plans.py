@@ -12,15 +12,13 @@ from gridwarden.operators.weeks import mondays
 from gridwarden.sources import sample_tables
 
 QUERIES = entry_points.queries()
-# values that make a query's plan show on its own, without the jobs it needs to settle its columns
-EAGER = {"training_table"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_joins_no_python_rows(spark, sample_dir, name):
     text = plan(QUERIES[name](spark, sample_dir))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
@@ -43,11 +41,15 @@ def test_deduplicated_rows_are_shuffled_once(spark, sample_dir, name):
     assert final.count("FileScan") == 1
 
 
-def test_unique_telemetry_needs_no_deduplication(spark, sample_dir):
+def test_unique_telemetry_is_not_shuffled(spark, sample_dir):
+    """Measured thresholds are broadcast: scan, join and partial sums happen in one stage, and the
+    scan is cut to the recent days."""
     text = plan(QUERIES["weekly_rank_first_breach"](spark, sample_dir))
-    assert "min_by(x" not in text
-    # the raw rows of the recent days are cut at the scan, too
-    assert len(set(re.findall(r"GreaterThanOrEqual\(ts,([^)]*)\)", text))) == 2
+    assert "BroadcastHashJoin" in text
+    assert re.findall(r"GreaterThanOrEqual\(ts,([^)]*)\)", text)[-1] == "2024-01-01T00:00"
+    joined = text.index("BroadcastHashJoin")
+    assert text.rindex("Exchange hash", 0, joined) < text.rindex("partial_", 0, joined)
+    assert "Exchange hash" not in text[joined:]
 
 
 def test_top_rows_are_cut_before_the_shuffle(spark, sample_dir):
