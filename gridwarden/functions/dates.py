@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import require_utc
+
 
 def to_utc(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
     """The column as a UTC timestamp. Text is read as ISO first, then by each of ``formats``."""
+    require_utc(df)
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")

@@ -49,7 +49,8 @@ def scoring_rows(
     schema = telemetry.schema
     if not isinstance(schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{ts} must be a timestamp, not {schema[ts].dataType.simpleString()}")
-    require_utc(telemetry, ts)
+    if isinstance(schema[ts].dataType, T.TimestampType):
+        require_utc(telemetry)
     values = []
     for i, m in enumerate(metrics):
         floating = isinstance(schema[m].dataType, (T.DoubleType, T.FloatType))

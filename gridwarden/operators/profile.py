@@ -60,7 +60,7 @@ def _required(df: DataFrame, required: Sequence[str]) -> Column:
     return F.lit(", ".join(missing_columns(df, required)))
 
 
-def profile_telemetry(df: DataFrame, scope: str = "_file", table: str = "telemetry") -> DataFrame:
+def profile_telemetry(df: DataFrame, scope: str = "_path", table: str = "telemetry") -> DataFrame:
     """Per source file and overall. ``scope`` names the column that tells the file."""
     columns = [c for c in df.columns if c != scope]
     copies = _copies(df)

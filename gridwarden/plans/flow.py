@@ -15,13 +15,19 @@ from ..operators.cleaning import clean_reviews, clean_telemetry, clean_visits
 from ..operators.compare import by_percent, compare_classes
 from ..operators.features import gateway_features
 from ..operators.labels import review_labels, training_table
-from ..operators.ranking import FIRST_SCORED_WEEK, SCORED_WEEK_COUNT, TOP_N, rank_weeks
+from ..operators import profile
+from ..operators.anomaly import METRICS
+from ..operators.ranking import FIRST_SCORED_WEEK, SCORED_WEEK_COUNT, TOP_N, rank_weeks, require_full
 from ..operators.validate import validate
 from ..operators.weeks import mondays
 from ..session import use_utc
 from ..sources import readers, sinks
 
 
+def scored_weeks() -> list[date]:
+    return mondays(FIRST_SCORED_WEEK, SCORED_WEEK_COUNT)
+
+
 def run_flow(
     spark: SparkSession,
     data_dir: str,
@@ -35,7 +41,7 @@ def run_flow(
     """Writes every output under ``out_dir`` and returns the tables read back from there."""
     use_utc(spark)
     base, out = data_dir.rstrip("/"), out_dir.rstrip("/")
-    weeks = list(weeks or mondays(FIRST_SCORED_WEEK, SCORED_WEEK_COUNT))
+    weeks = list(weeks or scored_weeks())
 
     raw = readers.read_telemetry(spark, f"{base}/telemetry", with_order=True)
     sinks.write_telemetry(clean_telemetry(raw, readers.FILE_ORDER), f"{out}/telemetry_clean")
@@ -78,3 +84,60 @@ def run_flow(
         "ranking": ranking,
         "checks": validate(ranking, weeks, n),
     }
+
+
+def rank_raw(
+    spark: SparkSession,
+    data_dir: str,
+    out_path: str,
+    weeks: Sequence[date] | None = None,
+    n: int = TOP_N,
+    full: bool = True,
+) -> DataFrame:
+    """The ranking straight from raw telemetry, neither cleaned nor made unique, with the first
+    breach as the reason. With ``full`` a week with fewer than ``n`` gateways is an error."""
+    use_utc(spark)
+    weeks = list(weeks or scored_weeks())
+    raw = readers.read_telemetry(
+        spark, f"{data_dir.rstrip('/')}/telemetry", columns=["gateway_id", "ts_utc", *METRICS]
+    )
+    timed = raw.withColumn("ts_utc", raw["ts_utc"].cast("timestamp"))
+    ranking = rank_weeks(timed, weeks, n, reason_mode="first_breach", measure=True)
+    sinks.write_csv(ranking.orderBy("week_start", "rank"), out_path, single_file=True)
+    written = readers.read_csv(spark, out_path)
+    return require_full(written, weeks, n) if full else written
+
+
+def validate_file(
+    spark: SparkSession, path: str, weeks: Sequence[date] | None = None, n: int = TOP_N
+) -> DataFrame:
+    """The checks of a ranking written as CSV."""
+    return validate(readers.read_csv(spark, path), list(weeks or scored_weeks()), n)
+
+
+def quality_report(
+    spark: SparkSession,
+    data_dir: str,
+    meter_paths: Sequence[str] | None = None,
+    visits_path: str | None = None,
+    reviews_paths: Sequence[str] | None = None,
+) -> DataFrame:
+    """The profiles of telemetry (per file and overall) and of the other inputs that exist."""
+    use_utc(spark)
+    base = data_dir.rstrip("/")
+    report = profile.profile_telemetry(
+        readers.read_telemetry(spark, f"{base}/telemetry", with_path=True)
+    )
+    optional = [
+        (profile.profile_meter, meter_paths or [f"{base}/meter_reads.parquet", f"{base}/meter_reads.csv"]),
+        (profile.profile_visits, [visits_path or f"{base}/field_visits.csv"]),
+        (
+            profile.profile_reviews,
+            reviews_paths or [f"{base}/engineer_reviews.csv", f"{base}/engineer_reviews.parquet"],
+        ),
+    ]
+    for profiled, paths in optional:
+        path = readers.first_existing(spark, paths)
+        if path is not None:
+            report = report.unionByName(profiled(readers.load_file(spark, path)))
+    return report

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
@@ -33,12 +32,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def require_utc(df: DataFrame, ts: str) -> None:
-    """Refuse zoned timestamps in a session whose calendar days are not UTC days."""
-    if isinstance(df.schema[ts].dataType, T.TimestampType):
-        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-        if zone not in UTC_NAMES:
-            raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
+def require_utc(df: DataFrame) -> None:
+    """Refuse to turn text or calendar days into instants in a session that is not in UTC."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridwarden.operators import cleaning
 from gridwarden.operators.weeks import mondays
-from gridwarden.plans.flow import run_flow
+from gridwarden.plans.flow import quality_report, rank_raw, run_flow, scored_weeks, validate_file
 from gridwarden.schema import TELEMETRY_FEATURES
 from gridwarden.sources import readers, sinks
 
@@ -186,3 +186,27 @@ def test_cleaning_is_idempotent(spark, outputs):
     table = outputs[1]["telemetry_clean"]
     again = cleaning.clean_telemetry(table.withColumn("o", F.lit(0)).drop("timestamp"), ["o"])
     assert again.exceptAll(table.select(*again.columns)).isEmpty()
+
+
+def test_raw_ranking_and_its_file(spark, data_dir, tmp_path):
+    path = str(tmp_path / "raw_ranking")
+    ranking = rank_raw(spark, data_dir, path, WEEKS)
+    assert ranking.count() == 30
+    assert all("first breach on" in r["reason"] for r in ranking.collect())
+    assert validate_file(spark, path, WEEKS).where("not ok").isEmpty()
+    assert len(scored_weeks()) == 8 and scored_weeks()[-1] == date(2026, 3, 23)
+    assert not validate_file(spark, path).where("not ok").isEmpty()
+    with pytest.raises(ValueError, match="only 20 gateways"):
+        rank_raw(spark, data_dir, path, WEEKS, n=21)
+
+
+def test_quality_report(spark, data_dir):
+    report = quality_report(spark, data_dir).collect()
+    assert {r["table"] for r in report} == {"telemetry", "meter_reads", "field_visits", "engineer_reviews"}
+    files = {r["scope"].rsplit("/", 2)[-2] + "/" + r["scope"].rsplit("/", 1)[-1] for r in report if r["scope"] != "all"}
+    assert files == {f"month=2026-0{m}/part-{p}.parquet" for m in (1, 2) for p in (0, 1)}
+    found = {(r["table"], r["scope"].rsplit("/", 1)[-1], r["check"]): r["value"] for r in report if "month=2026-02" not in r["scope"]}
+    assert found["telemetry", "all", "duplicate_gateway_timestamps"] == "100"
+    assert found["telemetry", "part-1.parquet", "rows"] == "50"
+    assert int(found["telemetry", "part-0.parquet", "negative_disconnection_cnt"]) > 0
+    assert found["engineer_reviews", "all", "category:gut"] == "10"
