@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..session import cut_lineage, require_utc
@@ -32,10 +31,6 @@ REASON_MODES = ("first_reading", "first_breach")
 BROADCAST_ROWS = 500_000
 
 
-def _exprs(parts: Sequence[str]) -> list[Column]:
-    return [F.expr(p) for p in parts]
-
-
 def scoring_rows(
     telemetry: DataFrame,
     grid: WeekGrid,
@@ -66,54 +61,49 @@ def scoring_rows(
     return rows
 
 
-def bucket_moments(rows: DataFrame, grid: WeekGrid, width: int) -> DataFrame:
-    """Count, mean, centred sum of squares, minimum and maximum per key and bucket."""
-    parts = ["min(ts) as first_ts"]
-    for i in range(width):
-        x = f"x{i}"
-        parts += [
-            f"count({x}) as n{i}",
-            f"avg({x}) as mean{i}",
-            f"var_pop({x}) * count({x}) as m2_{i}",
-            f"min({x}) as lo{i}",
-            f"max({x}) as hi{i}",
-        ]
-    return rows.selectExpr("*", f"{grid.bucket('ts')} as bucket").groupBy("k", "bucket").agg(*_exprs(parts))
-
-
-def window_stats(moments: DataFrame, grid: WeekGrid, width: int) -> DataFrame:
-    """``week_start, k, first_ts, mean0, std0, ..``; ``first_ts`` is null without recent rows.
+def _stats_sql(grid: WeekGrid, width: int) -> str:
+    """Common table expressions from ``{rows}`` to ``stats(week_start, k, first_ts, mean0, std0, ..)``.
 
+    ``moments`` holds count, mean, centred sum of squares, minimum and maximum per key and bucket.
     Buckets merge by the parallel-variance rule around the merged mean. A series whose minimum
     equals its maximum has deviation exactly 0, whatever order the partial sums arrived in.
+    ``first_ts`` is the first recent time, null without recent rows.
     """
-    spread = moments.selectExpr(
-        "*",
-        f"explode_outer({grid.baseline_weeks('bucket')}) as week_start",
-        f"{grid.recent_weeks('bucket')} as recent_weeks",
-    )
-    if not all(grid.baseline):
-        spread = spread.where(f"week_start <> DATE'{NO_WEEK.isoformat()}'")
-    window = "over (partition by k, week_start)"
-    centred = spread.selectExpr(
-        "*",
-        *[f"try_divide(sum(n{i} * mean{i}) {window}, sum(n{i}) {window}) as all{i}" for i in range(width)],
-    )
-    parts = ["min(if(array_contains(recent_weeks, week_start), first_ts, null)) as first_ts"]
-    out = ["week_start", "k", "first_ts"]
+    moments, centred, merged, stats = [], [], [], []
     for i in range(width):
-        parts += [
-            f"sum(n{i}) as n{i}",
-            f"max(all{i}) as mean{i}",
-            f"sum(m2_{i} + n{i} * (mean{i} - all{i}) * (mean{i} - all{i})) as m2_{i}",
-            f"min(lo{i}) as lo{i}",
-            f"max(hi{i}) as hi{i}",
-        ]
-        out += [
-            f"if(lo{i} = hi{i}, lo{i}, mean{i}) as mean{i}",
-            f"case when n{i} <= 1 then null when lo{i} = hi{i} then 0d else sqrt(m2_{i} / (n{i} - 1)) end as std{i}",
-        ]
-    return centred.groupBy("k", "week_start").agg(*_exprs(parts)).selectExpr(*out)
+        x = f"x{i}"
+        moments.append(
+            f"count({x}) AS n{i}, avg({x}) AS mean{i}, var_pop({x}) * count({x}) AS m2_{i}, "
+            f"min({x}) AS lo{i}, max({x}) AS hi{i}"
+        )
+        centred.append(f"try_divide(sum(n{i} * mean{i}) OVER w, sum(n{i}) OVER w) AS all{i}")
+        merged.append(
+            f"sum(n{i}) AS n{i}, max(all{i}) AS mean{i}, "
+            f"sum(m2_{i} + n{i} * (mean{i} - all{i}) * (mean{i} - all{i})) AS m2_{i}, "
+            f"min(lo{i}) AS lo{i}, max(hi{i}) AS hi{i}"
+        )
+        stats.append(
+            f"if(lo{i} = hi{i}, lo{i}, mean{i}) AS mean{i}, CASE WHEN n{i} <= 1 THEN null "
+            f"WHEN lo{i} = hi{i} THEN 0d ELSE sqrt(m2_{i} / (n{i} - 1)) END AS std{i}"
+        )
+    gaps = "" if all(grid.baseline) else f"WHERE week_start <> DATE'{NO_WEEK.isoformat()}'"
+    return f"""moments AS (
+  SELECT k, bucket, min(ts) AS first_ts, {", ".join(moments)}
+  FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}})
+  GROUP BY k, bucket
+), spread AS (
+  SELECT *, explode_outer({grid.baseline_weeks("bucket")}) AS week_start,
+         {grid.recent_weeks("bucket")} AS recent_weeks
+  FROM moments
+), centred AS (
+  SELECT *, {", ".join(centred)} FROM spread {gaps} WINDOW w AS (PARTITION BY k, week_start)
+), merged AS (
+  SELECT k, week_start, min(if(array_contains(recent_weeks, week_start), first_ts, null)) AS first_ts,
+         {", ".join(merged)}
+  FROM centred GROUP BY k, week_start
+), stats AS (
+  SELECT week_start, k, first_ts, {", ".join(stats)} FROM merged
+)"""
 
 
 def baseline_stats(
@@ -129,21 +119,26 @@ def baseline_stats(
     """``week_start, key, mean_*, std_*`` over ``[week - baseline_days, week)``."""
     grid = week_grid(weeks, baseline_days, recent_days)
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
-    stats = window_stats(bucket_moments(rows, grid, len(metrics)), grid, len(metrics))
-    named = [f"{p}{i} as `{p}_{m}`" for i, m in enumerate(metrics) for p in ("mean", "std")]
-    return stats.selectExpr("week_start", f"k as `{key}`", *named)
+    named = ", ".join(f"{p}{i} AS `{p}_{m}`" for i, m in enumerate(metrics) for p in ("mean", "std"))
+    return _run(f"WITH {_stats_sql(grid, len(metrics))} SELECT week_start, k AS `{key}`, {named} FROM stats", rows)
 
 
-def _thresholds(stats: DataFrame, width: int, sigma: float, floor: float | None) -> DataFrame:
-    """Mean plus sigma deviations, null where the deviation is 0 or undefined."""
+def _run(sql: str, rows: DataFrame, **tables: DataFrame) -> DataFrame:
+    return rows.sparkSession.sql(sql, rows=rows, **tables)
+
+
+def _thresholds_sql(grid: WeekGrid, width: int, sigma: float, floor: float | None = None) -> str:
+    """... to ``thresholds``: mean plus sigma deviations, null where the deviation is 0 or undefined."""
     limits = []
     for i in range(width):
         limit = f"mean{i} + {sigma!r}d * nullif(std{i}, 0d)"
         if floor is not None:
             complaint = f"metric {i} has readings below the declared floor {floor}"
-            limit = f"if({limit} < {floor!r}d, cast(raise_error('{complaint}') as double), {limit})"
-        limits.append(f"{limit} as limit{i}")
-    return stats.where("first_ts is not null").selectExpr("k", "week_start", "first_ts", *limits)
+            limit = f"if({limit} < {floor!r}d, cast(raise_error('{complaint}') AS double), {limit})"
+        limits.append(f"{limit} AS limit{i}")
+    return f"""{_stats_sql(grid, width)}, thresholds AS (
+  SELECT k, week_start, first_ts, {", ".join(limits)} FROM stats WHERE first_ts IS NOT NULL
+)"""
 
 
 def _salts(df: DataFrame) -> int:
@@ -153,45 +148,48 @@ def _salts(df: DataFrame) -> int:
     return max(8, min(256, 1 << max(wanted, 1).bit_length() - 1))
 
 
-def _flagged(
-    rows: DataFrame,
-    thresholds: DataFrame,
+def _flagged_sql(
     grid: WeekGrid,
     width: int,
+    salts: int,
+    where: str = "true",
     keep_silent: bool = False,
     small: bool = False,
-) -> DataFrame:
-    """Recent rows with ``flag0..``, their sum ``flags`` and the first flagged position ``hit``.
+) -> str:
+    """From ``{rows}`` and ``thresholds`` to ``flagged``: the recent rows with ``flag0..``, their sum
+    ``flags`` and the first flagged position ``hit``.
 
     ``small`` thresholds are broadcast and the raw rows stay where they are. Otherwise a salt
     spreads a busy gateway's week over tasks; the threshold side has one row per key, week and
     salt, so it is the safe hash-build side and the raw rows need no sort. ``keep_silent`` also
-    keeps the gateways that have none of ``rows``, as rows without flags.
+    keeps the gateways that have none of the rows, as rows without flags.
+
+    There is no filter on the week: rows of no scored week match no threshold. A filter would make
+    this use of deduplicated rows differ from the statistics' use, and cost a second shuffle.
     """
-    # No filter on the week here: rows of no scored week match no threshold. A filter would make
-    # this use of deduplicated rows differ from the statistics' use, and cost a second shuffle.
-    recent = rows.selectExpr("*", f"{grid.bucket('ts')} as bucket").selectExpr(
-        "*", f"{grid.recent_week('bucket')} as week_start"
-    )
+    flags = ", ".join(f"coalesce(cast(x{i} > limit{i} AS int), 0) AS flag{i}" for i in range(width))
+    cases = " ".join(f"WHEN flag{i} = 1 THEN {i}" for i in range(width))
+    total = " + ".join(f"flag{i}" for i in range(width))
     if small:
-        joined = recent.join(F.broadcast(thresholds), ["k", "week_start"])
+        joined = "SELECT /*+ BROADCAST(thresholds) */ * FROM recent JOIN thresholds USING (k, week_start)"
     else:
-        salts = _salts(rows)
-        spread = thresholds.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) as salt")
-        joined = recent.selectExpr("*", f"xxhash64(ts) & {salts - 1} as salt").join(
-            spread.hint("shuffle_hash"), ["k", "week_start", "salt"], "right" if keep_silent else "inner"
-        )
-    flags = joined.selectExpr(
-        "*", *[f"coalesce(cast(x{i} > limit{i} as int), 0) as flag{i}" for i in range(width)]
-    )
-    cases = " ".join(f"when flag{i} = 1 then {i}" for i in range(width))
-    total = " + ".join(f"flag{i}" for i in range(width))
-    return flags.selectExpr("*", f"{total} as flags", f"case {cases} end as hit")
+        side = "RIGHT" if keep_silent else "INNER"
+        joined = f"""SELECT /*+ SHUFFLE_HASH(salted) */ * FROM recent {side} JOIN (
+    SELECT *, explode(sequence(0L, {salts - 1}L)) AS salt FROM thresholds
+  ) salted USING (k, week_start, salt)"""
+    return f"""recent AS (
+  SELECT *, {grid.recent_week("bucket")} AS week_start, xxhash64(ts) & {salts - 1} AS salt
+  FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}} WHERE {where})
+), joined AS (
+  {joined}
+), flagged AS (
+  SELECT *, {flags}, {total} AS flags, CASE {cases} END AS hit FROM joined
+)"""
 
 
 def _metric_name(metrics: Sequence[str]) -> str:
-    cases = " ".join(f"when {i} then '{m}'" for i, m in enumerate(metrics))
-    return f"case hit {cases} else '' end as metric"
+    cases = " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(metrics))
+    return f"CASE hit {cases} ELSE '' END AS metric"
 
 
 def flag_rows(
@@ -209,10 +207,12 @@ def flag_rows(
     grid = week_grid(weeks, baseline_days, recent_days)
     width = len(metrics)
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
-    stats = window_stats(bucket_moments(rows, grid, width), grid, width)
-    flagged = _flagged(rows, _thresholds(stats, width, sigma, None), grid, width)
-    named = [f"flag{i} as `flag_{m}`" for i, m in enumerate(metrics)]
-    return flagged.selectExpr("week_start", f"k as `{key}`", "ts", *named, "flags", _metric_name(metrics))
+    named = ", ".join(f"flag{i} AS `flag_{m}`" for i, m in enumerate(metrics))
+    return _run(
+        f"WITH {_thresholds_sql(grid, width, sigma)}, {_flagged_sql(grid, width, _salts(rows))} "
+        f"SELECT week_start, k AS `{key}`, ts, {named}, flags, {_metric_name(metrics)} FROM flagged",
+        rows,
+    )
 
 
 def score_weeks(
@@ -249,22 +249,29 @@ def score_weeks(
     grid = week_grid(weeks, baseline_days, recent_days)
     width = len(metrics)
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
-    stats = window_stats(bucket_moments(rows, grid, width), grid, width)
-    thresholds = _thresholds(stats, width, sigma, floor)
-    small = False
+    steps = [_thresholds_sql(grid, width, sigma, floor)]
+    tables, small = {}, False
     if measure:
-        thresholds = cut_lineage(thresholds)
+        thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows))
         small = thresholds.count() <= BROADCAST_ROWS
-    candidates = rows
+        tables = {"measured": thresholds}
+        steps = ["thresholds AS (SELECT * FROM {measured})"]
+    filters = ["true"]
     if not order and not derived:
-        candidates = candidates.where(grid.recent_range("ts", rows.schema["ts"].dataType.simpleString()))
+        filters.append(grid.recent_range("ts", rows.schema["ts"].dataType.simpleString()))
     skip_floor = floor is not None and not small
     if skip_floor:
-        candidates = candidates.where(" or ".join(f"x{i} > {floor!r}d" for i in range(width)))
-    flagged = _flagged(candidates, thresholds, grid, width, keep_silent=skip_floor, small=small)
+        filters.append("(" + " or ".join(f"x{i} > {floor!r}d" for i in range(width)) + ")")
+    steps.append(_flagged_sql(grid, width, _salts(rows), " and ".join(filters), skip_floor, small))
     if reason_mode == "first_breach":
-        hit = "min(if(hit is null, null, struct(ts, hit))).hit as hit"
+        hit = "min(if(hit IS NULL, null, struct(ts, hit))).hit"
     else:
-        hit = "min(if(ts = first_ts, hit, null)) as hit"
-    scores = flagged.groupBy("k", "week_start").agg(*_exprs(["sum(flags) as score", hit]))
-    return scores.selectExpr("week_start", f"k as `{key}`", "score", _metric_name(metrics))
+        hit = "min(if(ts = first_ts, hit, null))"
+    steps.append(
+        f"scores AS (SELECT k, week_start, sum(flags) AS score, {hit} AS hit FROM flagged GROUP BY k, week_start)"
+    )
+    return _run(
+        f"WITH {', '.join(steps)} SELECT week_start, k AS `{key}`, score, {_metric_name(metrics)} FROM scores",
+        rows,
+        **tables,
+    )
