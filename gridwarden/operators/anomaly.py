@@ -28,7 +28,7 @@ SIGMA = 3.0
 REASON_MODES = ("first_reading", "first_breach")
 
 # Thresholds are broadcast only when counted to be at most this many rows (some 100 bytes each).
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 
 
 def scoring_rows(
@@ -73,7 +73,7 @@ def _stats_sql(grid: WeekGrid, width: int) -> str:
     for i in range(width):
         x = f"x{i}"
         moments.append(
-            f"count({x}) AS n{i}, avg({x}) AS mean{i}, var_pop({x}) * count({x}) AS m2_{i}, "
+            f"count({x}) AS n{i}, try_divide(sum({x}), count({x})) AS mean{i}, var_pop({x}) * count({x}) AS m2_{i}, "
             f"min({x}) AS lo{i}, max({x}) AS hi{i}"
         )
         centred.append(f"try_divide(sum(n{i} * mean{i}) OVER w, sum(n{i}) OVER w) AS all{i}")
