@@ -55,13 +55,6 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False) -> DataFra
 
 
 def table_size(df: DataFrame, distinct: Sequence[str] = ()) -> DataFrame:
-    """One row: ``rows`` and the number of distinct non-null values of each listed column.
-
-    Columns are counted one at a time: several distinct counts in one aggregation would multiply
-    every row.
-    """
-    out = df.agg(F.count("*").alias("rows"))
-    for name in distinct:
-        uniques = df.select(name).distinct().agg(F.count(name))
-        out = out.withColumn(f"unique_{name}", uniques.scalar())
-    return out
+    """One row: ``rows`` and the number of distinct non-null values of each listed column."""
+    uniques = [F.count_distinct(name).alias(f"unique_{name}") for name in distinct]
+    return df.agg(F.count("*").alias("rows"), *uniques)

@@ -51,11 +51,6 @@ def _tidy(wide: DataFrame, table: str, scope: str | None = None) -> DataFrame:
     )
 
 
-def _unique(df: DataFrame, table: str, column: str, check: str) -> DataFrame:
-    count = df.select(column).distinct().agg(F.count(column).alias(check))
-    return _tidy(count, table)
-
-
 def _required(df: DataFrame, required: Sequence[str]) -> Column:
     return F.lit(", ".join(missing_columns(df, required)))
 
@@ -85,10 +80,9 @@ def profile_telemetry(df: DataFrame, scope: str = "_path", table: str = "telemet
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("_copies") - F.col("_distinct")), F.lit(0)).alias("duplicate_rows"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_gateway_timestamps"),
+        F.count_distinct("gateway_id").alias("unique_gateways"),
     )
-    return out.unionByName(_tidy(overall, table)).unionByName(
-        _unique(df, table, "gateway_id", "unique_gateways")
-    )
+    return out.unionByName(_tidy(overall, table))
 
 
 def _profile(
@@ -100,10 +94,8 @@ def _profile(
 ) -> DataFrame:
     checks = {**_basic(df, df.columns), "missing_required_columns": _required(df, required)}
     checks.update({name: _times(condition) for name, condition in conditions.items()})
-    out = _tidy(_copies(df).agg(*[c.alias(n) for n, c in checks.items()]), table)
-    for column, check in unique.items():
-        out = out.unionByName(_unique(df, table, column, check))
-    return out
+    checks.update({name: F.count_distinct(column) for column, name in unique.items()})
+    return _tidy(_copies(df).agg(*[c.alias(n) for n, c in checks.items()]), table)
 
 
 def profile_meter(df: DataFrame, table: str = "meter_reads") -> DataFrame:
