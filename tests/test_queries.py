@@ -7,9 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from gridwarden.plans.oracles import all_oracles
+from gridwarden.plans.queries import all_queries
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +29,7 @@ def plain(value):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
