@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -29,7 +29,7 @@ WORDS = 3
 NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
-HUB_ROUNDS = 2
+FINER = 8  # times as many segments where allocation goes by counted frequencies
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
 
@@ -93,41 +93,69 @@ def allocate(counts: np.ndarray, units: int) -> tuple[np.ndarray, bool]:
     return probed, bool(deep)
 
 
-def keys_of(elements: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """``(index keys, probe keys)`` of a set, for its own size band and the next if partners reach it.
-
-    Two sets that link share a key that is a probe key of at least one of them.
-    """
+@dataclass(frozen=True)
+class Segments:
+    """A set dealt into the segments of one join band, the band of the larger set of a pair."""
+
+    band: int
+    units: int  # how many a probing set needs: one more than linked sets can differ in
+    place: np.ndarray
+    counts: np.ndarray
+    order: np.ndarray
+    sums: np.ndarray
+    seeds: np.ndarray
+
+    @property
+    def whole(self) -> np.ndarray:
+        """A key for each segment: its subset."""
+        return mix(self.sums + self.seeds)
+
+
+def dealt(elements: np.ndarray, scrambled: np.ndarray, threshold: Threshold, finer: int = 0) -> Iterator[Segments]:
+    """The set's segments in its own size band and, if partners reach it, the next. Bands in which
+    only equal sets link are left out."""
     size = len(elements)
     own = int(np.searchsorted(BANDS, size, "right")) - 1
-    index, probe = [], []
-    scrambled = mix(elements + np.uint64(0x51ED270B))
+    most = threshold.largest_partner(size)
     for band in (own, own + 1):
-        if band > own and threshold.largest_partner(size) < BANDS[band]:
+        high = int(BANDS[band + 1]) - 1
+        if band > own and most < BANDS[band]:
             continue
-        most = threshold.differ(2 * (int(BANDS[band + 1]) - 1))
-        if not most:  # only equal sets link
+        differ = threshold.differ(2 * high)
+        if not differ:
             continue
-        segments = most + 1 + SPARE
-        place = (mix(elements ^ mix(np.uint64([band * 7919 + 13]))) % np.uint64(segments)).astype(np.int64)
+        segments = (differ + 1) * finer if finer else differ + 1 + SPARE
+        place = (mix(elements ^ mix(np.uint64([band * 7919 + 13 + finer]))) % np.uint64(segments)).astype(np.int64)
         counts = np.bincount(place, minlength=segments)
         order = np.argsort(place, kind="stable")
         running = np.zeros(size + 1, np.uint64)
         np.cumsum(scrambled[order], out=running[1:])
         ends = np.cumsum(counts)
-        sums = running[ends] - running[ends - counts]
-        seed = mix(np.uint64(band << 32) + np.arange(segments, dtype=np.uint64))
-        whole = mix(sums + seed)
-        probed, deep = allocate(counts, most + 1)
+        seeds = mix(np.uint64((band << 32) + (finer << 48)) + np.arange(segments, dtype=np.uint64))
+        units = threshold.differ(size + min(high, most)) + 1
+        yield Segments(band, units, place, counts, order, running[ends] - running[ends - counts], seeds)
+
+
+def scramble(elements: np.ndarray) -> np.ndarray:
+    return mix(elements + np.uint64(0x51ED270B))
+
+
+def keys_of(elements: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """``(index keys, probe keys)`` of a set. Two sets that link share a key that is a probe key of
+    at least one of them."""
+    index, probe = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    scrambled = scramble(elements)
+    for s in dealt(elements, scrambled, threshold):
+        probed, deep = allocate(s.counts, s.units)
+        whole = s.whole
         index.append(whole[~probed])
         probe.append(whole[probed])
         # Segment 0: every set's one-deletion keys are indexed apart, for the few that look there.
-        less = mix(sums[0] - scrambled[order[: counts[0]]] + seed[0])
+        less = mix(s.sums[0] - scrambled[s.order[: s.counts[0]]] + s.seeds[0])
         index.append(mix(less ^ D_SPACE))
         if deep:
             probe += [mix(whole[:1] ^ D_SPACE), less]
-    empty = np.zeros(0, np.uint64)
-    return np.concatenate(index) if index else empty, np.concatenate(probe) if probe else empty
+    return np.concatenate(index), np.concatenate(probe)
 
 
 def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Threshold) -> DataFrame:
@@ -220,8 +248,9 @@ def near_groups(
     Equal sets are one class, represented by its smallest id. Classes that share a key first meet
     the key's hub, the class with the most shared keys: in a large group of near copies that is
     its origin, so the group becomes one component in a number of checks that is linear in its
-    size. Only classes that share a key and are still in different components are then checked pair by
-    pair. So every link between components is found, but no pair inside one needs a check.
+    size. Classes that share a key and are still in different components are then joined once more,
+    by finer segments of which each probes its rarest. So every link between components is found,
+    but no pair inside one needs a check, and few that are alike but not enough.
     """
     ship(docs.sparkSession)
     threshold = threshold or Threshold()
@@ -271,48 +300,58 @@ def _links(docs, sets, class_of, width, threshold, key, text) -> DataFrame:
     texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("t"))
     texts = texts.join(small_or_not(wanted, 32), F.col("id") == F.col("_rep"), "left_semi")
     texts = cut_lineage(texts.groupBy("id").agg(F.min("t").alias("t")))
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    rows = rows.withColumn("comp", F.col("rep"))
-    for _ in range(HUB_ROUNDS):
-        hubs = rows.groupBy("key").agg(
-            F.max(F.struct("w", F.negative("rep").alias("minus"), "probe", "comp")).alias("hub"),
-            F.min("comp").alias("lo"),
-            F.max("comp").alias("hi"),
-        )
-        hubs = hubs.where("lo <> hi").select(
-            "key", (-F.col("hub.minus")).alias("b"), F.col("hub.w").alias("bw"), F.col("hub.probe").alias("bp"),
-            F.col("hub.comp").alias("bc"),
-        )
-        # Rows of keys that are still in several components, and of those all but the hub's own.
-        rows = cut_lineage(rows.join(hubs, "key").where("rep <> b"))
-        pairs = (
-            rows.where("comp <> bc and probe + bp > 0")
-            .groupBy(F.col("rep").alias("a"), "b")
-            .agg((F.floor(F.max("bw") / HUB_SPLIT) + 1).alias("split"))
-        )
-        links = cut_lineage(links.union(verified(pairs, texts, width, threshold)))
-        roots = connected_components(links)
-        rows = rows.select("key", "rep", "probe", "w", "comp")
-        rows = _relabelled(rows, roots)
-    left = rows.select("key", F.col("rep").alias("a"), F.col("comp").alias("ac"), F.col("probe").alias("ap"))
-    right = rows.select("key", F.col("rep").alias("b"), F.col("comp").alias("bc"), F.col("probe").alias("bp"))
-    rest = (
-        left.join(right, "key")
-        .where("a < b and ac <> bc and ap + bp > 0")
-        .select("a", "b")
-        .distinct()
-        .withColumn("split", F.lit(1).cast("bigint"))
+    hubs = rows.groupBy("key").agg(F.max(F.struct("w", F.negative("rep").alias("minus"), "probe")).alias("hub"))
+    hubs = hubs.select("key", (-F.col("hub.minus")).alias("b"), F.col("hub.w").alias("bw"), F.col("hub.probe").alias("bp"))
+    # A hub has then met all of its key, so of the key the others remain.
+    rows = cut_lineage(rows.join(hubs, "key").where("rep <> b"))
+    pairs = (
+        rows.where("probe + bp > 0")
+        .groupBy(F.col("rep").alias("a"), "b")
+        .agg((F.floor(F.max("bw") / HUB_SPLIT) + 1).alias("split"))
     )
+    links = cut_lineage(verified(pairs, texts, width, threshold))
+    roots = connected_components(links)
+    named = rows.select("key", "rep", "probe").join(roots, rows["rep"] == roots["node"], "left")
+    named = cut_lineage(named.select("key", "rep", "probe", F.coalesce("root", "rep").alias("comp")))
+    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("probe").alias("p"))
+    split = split.where("lo <> hi and p = 1").select("key")
+    apart = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
+    rest = _rarest_meetings(texts, cut_lineage(apart), width, threshold)
     return cut_lineage(links.union(verified(rest, texts, width, threshold)))
 
 
-def _relabelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """``rows`` with the present components; keys that are within one component are done."""
-    named = rows.drop("comp").join(roots, rows["rep"] == roots["node"], "left")
-    named = cut_lineage(named.select("key", "rep", "probe", "w", F.coalesce("root", "rep").alias("comp")))
-    split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    return cut_lineage(named.join(split.select("key"), "key", "left_semi"))
+def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold: Threshold) -> DataFrame:
+    """``a, b, split``: pairs of classes ``rep`` in different components ``comp`` that may link.
+
+    The sets are dealt into finer segments, and each probes those of its subsets that are counted to
+    be rarest, as many as it needs. Either set of a linked pair finds the other, so only the one
+    whose probes cost less has to. Sets alike but not enough differ in more segments than they
+    need to probe, and then meet nowhere.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for rep, comp, text in zip(batch["rep"], batch["comp"], batch["t"], strict=True):
+                elements = shingles(text, width)
+                for s in dealt(elements, scramble(elements), threshold, FINER):
+                    columns = {"rep": rep, "comp": comp, "band": s.band, "units": s.units}
+                    yield pd.DataFrame({"key": s.whole.view(np.int64)}).assign(**columns)
+
+    read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
+    types = "key bigint, rep bigint, comp bigint, band int, units int"
+    keyed = cut_lineage(read.mapInPandas(run, types))
+    often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    # A key within one component costs nothing.
+    counted = keyed.join(often.select("key", F.when(F.col("lo") != F.col("hi"), F.col("often")).otherwise(0).alias("often")), "key")
+    own = Window.partitionBy("rep", "band")
+    chosen = counted.withColumn("place", F.row_number().over(own.orderBy("often", "key"))).withColumn(
+        "cost", F.sum(F.when(F.col("place") <= F.col("units"), F.col("often")).otherwise(0)).over(own)
+    )
+    chosen = cut_lineage(chosen.where("often > 0").select("key", "rep", "comp", "cost", (F.col("place") <= F.col("units")).alias("probe")))
+    probes = chosen.where("probe").select("key", F.col("rep").alias("a"), F.col("comp").alias("ac"), F.col("cost").alias("ca"))
+    index = chosen.select("key", F.col("rep").alias("b"), F.col("comp").alias("bc"), F.col("cost").alias("cb"))
+    found = probes.join(index, "key").where("ac <> bc and (ca < cb or ca = cb and a < b)")
+    return found.select("a", "b").distinct().withColumn("split", F.lit(1).cast("bigint"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
