@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,12 +79,8 @@ def by_bytes(texts: Sequence[str], most: int) -> Iterator[list[int]]:
         yield run
 
 
-def chunks(items: Iterable, size: int) -> Iterator[list]:
-    run = []
-    for item in items:
-        run.append(item)
-        if len(run) >= size:
-            yield run
-            run = []
-    if run:
-        yield run
+def slices(batches: Iterator, rows: int) -> Iterator:
+    """Arrow batches cut into runs of at most ``rows`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -15,13 +15,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ship, small_or_not, without_ids
+from .common import ship, slices, small_or_not, without_ids
 from .components import connected_components
 from .wordhash import mix, word_hashes
 
@@ -32,6 +31,9 @@ SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
 FINER = 8  # times as many segments where allocation goes by counted frequencies
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
+PROBE = 1 << 40  # a probe's weight in a key's tally, above any count of rows
+ROUND_ROWS = 200  # texts that are Python objects at a time
+SEEN_SETS = 100_000  # digests that a task remembers, so as not to emit equal sets' keys again
 
 D_SPACE = np.uint64(0xA24BAED4963EE407)
 
@@ -164,36 +166,34 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Thresh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                sizes, low, high, index, probe = [], [], [], [], []
-                for i, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    elements = shingles(value, width)
-                    digest = hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
-                    sizes.append(len(elements))
-                    low.append(int.from_bytes(digest[:8], "little", signed=True))
-                    high.append(int.from_bytes(digest[8:], "little", signed=True))
-                    if not len(elements) or i is None or digest in seen:
-                        index.append(None)
-                        probe.append(None)
-                        continue
-                    if len(seen) < 200_000:
-                        seen.add(digest)
-                    a, b = keys_of(elements, threshold)
-                    index.append(a.view(np.int64))
-                    probe.append(b.view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(low, pa.int64()),
-                        pa.array(high, pa.int64()),
-                        pa.array(index, pa.list_(pa.int64())),
-                        pa.array(probe, pa.list_(pa.int64())),
-                    ],
-                    names=["id", "n", "d1", "d2", "index_keys", "probe_keys"],
-                )
+        for part in slices(batches, ROUND_ROWS):
+            sizes, low, high, index, probe = [], [], [], [], []
+            for i, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                elements = shingles(value, width)
+                digest = hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+                sizes.append(len(elements))
+                low.append(int.from_bytes(digest[:8], "little", signed=True))
+                high.append(int.from_bytes(digest[8:], "little", signed=True))
+                if not len(elements) or i is None or digest in seen:
+                    index.append(None)
+                    probe.append(None)
+                    continue
+                if len(seen) < SEEN_SETS:
+                    seen.add(digest)
+                a, b = keys_of(elements, threshold)
+                index.append(a.view(np.int64))
+                probe.append(b.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(low, pa.int64()),
+                    pa.array(high, pa.int64()),
+                    pa.array(index, pa.list_(pa.int64())),
+                    pa.array(probe, pa.list_(pa.int64())),
+                ],
+                names=["id", "n", "d1", "d2", "index_keys", "probe_keys"],
+            )
 
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     return rows.mapInArrow(
@@ -216,19 +216,19 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshol
     left = left.withColumn("salt", F.pmod(F.xxhash64("a"), F.col("split")).cast("int"))
     both = left.join(right, ["b", "salt"]).select("a", "b", "ta", "tb")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, None
-        for batch in batches:
+        for part in slices(batches, ROUND_ROWS):
             keep = []
-            for b, ta, tb in zip(batch["b"], batch["ta"], batch["tb"], strict=True):
+            for b, ta, tb in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 if b != last:
                     last, known = b, shingles(tb, width)
                 own = shingles(ta, width)
                 common = len(np.intersect1d(own, known, assume_unique=True))
                 keep.append(threshold.links(common, len(own), len(known)))
-            yield batch.loc[keep, ["a", "b"]]
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInPandas(run, "a bigint, b bigint")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_groups(
@@ -275,18 +275,17 @@ def near_groups(
 
 
 def _links(docs, sets, class_of, width, threshold, key, text) -> DataFrame:
-    keyed = sets.select("id", F.explode("index_keys").alias("key"), F.lit(0).alias("probe"))
-    keyed = keyed.union(sets.select("id", F.explode("probe_keys").alias("key"), F.lit(1).alias("probe")))
-    shared = (
-        keyed.groupBy("key")
-        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("probe").alias("p"))
-        .where("lo <> hi and p = 1")
-        .select("key")
-    )
+    # Two numbers a row, as these are the most rows: the key, and the id with a last bit for a probe.
+    twice = F.shiftleft("id", 1)
+    keyed = sets.select(F.explode("index_keys").alias("key"), twice.alias("who"))
+    keyed = keyed.union(sets.select(F.explode("probe_keys").alias("key"), (twice + 1).alias("who")))
+    tally = F.sum(F.lit(1) + F.when(F.col("who") % 2 != 0, F.lit(PROBE)).otherwise(F.lit(0)))
+    shared = keyed.groupBy("key").agg(tally.alias("n")).where(f"n > {PROBE} and n % {PROBE} > 1").select("key")
     # Ids give way to their classes; of a class one row per key stays.
     member = class_of.where("rep is not null").select("id", "rep").distinct()
     met = (
         keyed.join(shared, "key", "left_semi")
+        .select("key", F.shiftright("who", 1).alias("id"), F.abs(F.col("who") % 2).cast("int").alias("probe"))
         .join(member, "id")
         .groupBy("key", "rep")
         .agg(F.max("probe").alias("probe"))
@@ -329,17 +328,23 @@ def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold:
     need to probe, and then meet nowhere.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for rep, comp, text in zip(batch["rep"], batch["comp"], batch["t"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, ROUND_ROWS):
+            found = []
+            for rep, comp, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 elements = shingles(text, width)
                 for s in dealt(elements, scramble(elements), threshold, FINER):
-                    columns = {"rep": rep, "comp": comp, "band": s.band, "units": s.units}
-                    yield pd.DataFrame({"key": s.whole.view(np.int64)}).assign(**columns)
+                    found.append((s.whole.view(np.int64), rep, comp, s.band, s.units))
+            if found:
+                lengths = [len(f[0]) for f in found]
+                columns = [pa.array(np.concatenate([f[0] for f in found]))]
+                for i, kind in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32)):
+                    columns.append(pa.array(np.repeat(np.array([f[i] for f in found], kind), lengths)))
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "rep", "comp", "band", "units"])
 
     read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
     types = "key bigint, rep bigint, comp bigint, band int, units int"
-    keyed = cut_lineage(read.mapInPandas(run, types))
+    keyed = cut_lineage(read.mapInArrow(run, types))
     often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     # A key within one component costs nothing.
     counted = keyed.join(often.select("key", F.when(F.col("lo") != F.col("hi"), F.col("often")).otherwise(0).alias("often")), "key")

@@ -223,14 +223,14 @@ def gram_counts(counted: DataFrame) -> DataFrame:
 def tables(found: DataFrame) -> Model:
     """The model's tables. What comes to the driver is one row per bucket, so it is bounded."""
 
-    def by(column: str, *values) -> pd.DataFrame:
+    def by(column: str, *values) -> pa.Table:
         bucket = F.expr(f"cast(pmod(`{column}`, {BUCKETS}L) as int)").alias("bucket")
         # pmod of the signed number and the unsigned remainder agree for a power of two.
-        return found.groupBy(bucket).agg(*values).toPandas()
+        return found.groupBy(bucket).agg(*values).toArrow()
 
-    def spread(frame: pd.DataFrame, column: str, size: int = BUCKETS) -> np.ndarray:
+    def spread(rows: pa.Table, column: str, size: int = BUCKETS) -> np.ndarray:
         out = np.zeros(size, np.float32)
-        out[frame["bucket"].to_numpy(np.int64)] = frame[column].to_numpy(np.float32)
+        out[rows["bucket"].to_numpy()] = rows[column].to_numpy()
         return out
 
     sums = [F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1")]
@@ -238,7 +238,7 @@ def tables(found: DataFrame) -> Model:
     full, context = by("full", *sums), by("context", *sums, *seen)
     short = by("short", F.count("*").alias("n"))
     short_context = by("short_context", F.count("*").alias("n"), F.count_distinct("byte").alias("k"))
-    single = found.groupBy(F.col("byte").alias("bucket")).agg(F.count_distinct("short_context").alias("n")).toPandas()
+    single = found.groupBy(F.col("byte").alias("bucket")).agg(F.count_distinct("short_context").alias("n")).toArrow()
     return Model(
         np.stack([spread(full, "n0"), spread(full, "n1")]),
         np.stack([spread(context, "n0"), spread(context, "n1")]),
