@@ -28,6 +28,7 @@ WORDS = 3
 NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
+SKETCH = 256  # bits that tell how many elements two sets differ in at least
 FINER = 8  # times as many segments where allocation goes by counted frequencies
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
@@ -319,32 +320,43 @@ def _links(docs, sets, class_of, width, threshold, key, text) -> DataFrame:
     return cut_lineage(links.union(verified(rest, texts, width, threshold)))
 
 
+def parities(elements: np.ndarray) -> np.ndarray:
+    """SKETCH bits as 64-bit words: whether an odd number of elements hashes to each bit. An element
+    that only one of two sets has changes one bit, so they differ in at least as many elements as
+    their sketches differ in bits."""
+    place = (mix(elements ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=SKETCH).astype(np.uint8) & 1).view(np.int64)
+
+
 def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """``a, b, split``: pairs of classes ``rep`` in different components ``comp`` that may link.
 
     The sets are dealt into finer segments, and each probes those of its subsets that are counted to
     be rarest, as many as it needs. Either set of a linked pair finds the other, so only the one
     whose probes cost less has to. Sets alike but not enough differ in more segments than they
-    need to probe, and then meet nowhere.
+    need to probe, and mostly meet nowhere; where they do, sizes and sketches rule most pairs out.
     """
 
+    bits = [f"s{i}" for i in range(SKETCH // 64)]
+    names = ["key", "rep", "comp", "band", "units", "n", *bits]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, ROUND_ROWS):
             found = []
             for rep, comp, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                 elements = shingles(text, width)
+                sketch = parities(elements).tolist()
                 for s in dealt(elements, scramble(elements), threshold, FINER):
-                    found.append((s.whole.view(np.int64), rep, comp, s.band, s.units))
+                    found.append((s.whole.view(np.int64), rep, comp, s.band, s.units, len(elements), *sketch))
             if found:
                 lengths = [len(f[0]) for f in found]
                 columns = [pa.array(np.concatenate([f[0] for f in found]))]
-                for i, kind in ((1, np.int64), (2, np.int64), (3, np.int32), (4, np.int32)):
-                    columns.append(pa.array(np.repeat(np.array([f[i] for f in found], kind), lengths)))
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "rep", "comp", "band", "units"])
+                for i in range(1, len(names)):
+                    columns.append(pa.array(np.repeat(np.array([f[i] for f in found], np.int64), lengths)))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
-    types = "key bigint, rep bigint, comp bigint, band int, units int"
-    keyed = cut_lineage(read.mapInArrow(run, types))
+    keyed = cut_lineage(read.mapInArrow(run, ", ".join(f"{n} bigint" for n in names)))
     often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     # A key within one component costs nothing.
     counted = keyed.join(often.select("key", F.when(F.col("lo") != F.col("hi"), F.col("often")).otherwise(0).alias("often")), "key")
@@ -352,10 +364,16 @@ def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold:
     chosen = counted.withColumn("place", F.row_number().over(own.orderBy("often", "key"))).withColumn(
         "cost", F.sum(F.when(F.col("place") <= F.col("units"), F.col("often")).otherwise(0)).over(own)
     )
-    chosen = cut_lineage(chosen.where("often > 0").select("key", "rep", "comp", "cost", (F.col("place") <= F.col("units")).alias("probe")))
-    probes = chosen.where("probe").select("key", F.col("rep").alias("a"), F.col("comp").alias("ac"), F.col("cost").alias("ca"))
-    index = chosen.select("key", F.col("rep").alias("b"), F.col("comp").alias("bc"), F.col("cost").alias("cb"))
-    found = probes.join(index, "key").where("ac <> bc and (ca < cb or ca = cb and a < b)")
+    probe = (F.col("place") <= F.col("units")).alias("probe")
+    chosen = cut_lineage(chosen.where("often > 0").select("key", "rep", "comp", "cost", "n", *bits, probe))
+    p, q = chosen.where("probe").alias("p"), chosen.alias("q")
+    cheaper = "p.comp <> q.comp and (p.cost < q.cost or p.cost = q.cost and p.rep < q.rep)"
+    differ = " + ".join(f"bit_count(p.{b} ^ q.{b})" for b in bits)
+    low, high = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
+    alike = f"({differ}) * {high}L <= (p.n + q.n) * {low}L"
+    sizes = f"least(p.n, q.n) * {threshold.denominator}L >= greatest(p.n, q.n) * {threshold.numerator}L"
+    found = p.join(q, (F.col("p.key") == F.col("q.key")) & F.expr(f"{cheaper} and {sizes} and {alike}"))
+    found = found.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
     return found.select("a", "b").distinct().withColumn("split", F.lit(1).cast("bigint"))
 
 

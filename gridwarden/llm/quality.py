@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -19,39 +20,47 @@ PENALTY = 0.0005
 THRESHOLD = 0.3
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """The statistics of a text that rules speak of, all 0 for an empty one. They refer to the
-    columns ``_t`` (the text) and ``_w`` (its words)."""
-    chars = F.greatest(F.length("_t"), F.lit(1)).cast("double")
-    n = F.size("_w")
+def statistics(text: Column, words: Column) -> dict[str, Column]:
+    """The statistics of a text that rules speak of, all 0 for an empty one."""
+    chars = F.greatest(F.length(text), F.lit(1)).cast("double")
+    n = F.size(words)
     each = F.greatest(n, F.lit(1)).cast("double")
-    repeated = F.size(F.filter("_w", lambda x, i: (i > 0) & (x == F.get("_w", i - 1))))
-    count = lambda pattern: F.regexp_count(F.col("_t"), F.lit(pattern))
+    repeated = F.size(F.filter(words, lambda x, i: (i > 0) & (x == F.get(words, i - 1))))
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    without = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
     return {
         "words": F.log1p(n.cast("double")),
-        "word_length": F.length("_t") / each,
-        "letters": F.length(F.regexp_replace("_t", r"[^\p{L}]+", "")) / chars,
-        "capitals": F.length(F.regexp_replace("_t", r"[^\p{Lu}]+", "")) / chars,
-        "digits": F.length(F.regexp_replace("_t", r"[^0-9]+", "")) / chars,
-        "marks": F.length(F.regexp_replace("_t", r"[\p{L}\p{N}\s.,;:'-]+", "")) / chars,
+        "word_length": F.length(text) / each,
+        "letters": without(r"[^\p{L}]+") / chars,
+        "capitals": without(r"[^\p{Lu}]+") / chars,
+        "digits": without(r"[^0-9]+") / chars,
+        "marks": without(r"[\p{L}\p{N}\s.,;:'-]+") / chars,
         "lone_marks": count(r"(?<!\S)[^\p{L}\p{N}\s]+(?!\S)") / each,
         "ends": count(r"[.!?](?=\s|$)") / each,
         "lines": count(r"\n") / each,
-        "distinct": F.size(F.array_distinct("_w")) / each,
+        "distinct": F.size(F.array_distinct(words)) / each,
         "repeated": repeated / each,
     }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once. A named column would do as well, but a filter on
+    what follows from it is moved below its projection, and then repeats it for each mention."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 STATISTICS = (
     "words", "word_length", "letters", "capitals", "digits", "marks", "lone_marks", "ends", "lines", "distinct", "repeated",
 )
 
 
-def measured(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with a column ``_s_<name>`` for each statistic of the whole text."""
-    named = rows.withColumn("_t", text_of(text)).withColumn("_w", words_of(F.col("_t")))
-    stats = statistics(F.col("_t"))
-    return named.withColumns({f"_s_{n}": c.cast("double") for n, c in stats.items()}).drop("_t", "_w")
+def measured(text: Column) -> Column:
+    """A struct of all statistics of the whole text."""
+
+    def of(t: Column) -> Column:
+        return let(words_of(t), lambda w: F.struct(*[c.cast("double").alias(n) for n, c in statistics(t, w).items()]))
+
+    return let(text, of)
 
 
 @dataclass(frozen=True)
@@ -60,10 +69,10 @@ class Rule:
 
     terms: tuple[tuple[str, bool, float], ...]
 
-    def column(self, prefix: str = "_s_") -> Column:
+    def column(self, statistic: Callable[[str], Column]) -> Column:
         out = F.lit(True)
         for name, above, bound in self.terms:
-            value = F.col(prefix + name)
+            value = statistic(name)
             out = out & ((value > bound) if above else (value <= bound))
         return out
 
@@ -99,15 +108,20 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[Rule, float], ...] = field(default=())
 
-    def column(self) -> Column:
-        total = F.lit(self.intercept)
-        for rule, weight in self.rules:
-            total = total + F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0))
-        return 1 / (1 + F.exp(-total))
+    def column(self, text: Column) -> Column:
+        """The score of a text: statistics, rules and weights in one expression."""
+
+        def score(s: Column) -> Column:
+            total = F.lit(self.intercept)
+            for rule, weight in self.rules:
+                total = total + F.when(rule.column(lambda n: s[n]), F.lit(weight)).otherwise(F.lit(0.0))
+            return 1 / (1 + F.exp(-total))
+
+        return let(measured(text), score)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, key: str, text: str, label: str) -> DataFrame:
-    """``_s_*, y`` of a bounded sample: the ``rows`` labelled ids that come first by hash. Ids with
+    """The statistics and ``y`` of a bounded sample: the ``rows`` labelled ids that come first by hash. Ids with
     several labels count once, with the largest; null ids and labels are left out."""
     known = (
         labels.select(F.col(f"`{key}`").alias("_id"), F.col(f"`{label}`").cast("double").alias("y"))
@@ -119,8 +133,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, key: str, tex
     )
     texts = docs.select(F.col(f"`{key}`").alias("_id2"), F.col(f"`{text}`").alias("_text"))
     # At most SAMPLE_ROWS ids of a number each: small enough to broadcast.
-    joined = texts.join(F.broadcast(known), texts["_id2"] == known["_id"]).select("_text", "y")
-    return cut_lineage(measured(joined, "_text").drop("_text"))
+    joined = texts.join(F.broadcast(known), texts["_id2"] == known["_id"])
+    return cut_lineage(joined.select("y", measured(text_of("_text")).alias("_s"))).select("y", "_s.*")
 
 
 def fit(sample: DataFrame) -> RuleModel:
@@ -135,7 +149,7 @@ def fit(sample: DataFrame) -> RuleModel:
     from pyspark.ml.feature import VectorAssembler
 
     rows = sample.coalesce(4)
-    vectors = VectorAssembler(inputCols=[f"_s_{n}" for n in STATISTICS], outputCol="x").transform(rows)
+    vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="x").transform(rows)
     # The rarer class weighs as much as the other while the trees look for rules.
     balance = F.when(F.col("y") == 1, all_ / (2 * good)).otherwise(all_ / (2 * (all_ - good)))
     forest = RandomForestClassifier(
@@ -145,7 +159,7 @@ def fit(sample: DataFrame) -> RuleModel:
     rules = tree_rules(forest.toDebugString)
     if not rules:
         return plain
-    held = [F.when(r.column(), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)]
+    held = [F.when(r.column(F.col), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)]
     marked = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="x").transform(
         rows.select("y", *held)
     )
@@ -171,6 +185,6 @@ def quality_model(
 
 def scored(docs: DataFrame, model: RuleModel, text: str = "text", column: str = "score") -> DataFrame:
     """``docs`` with the score of every whole text, computed in column expressions only. Null and
-    empty texts are scored as texts without words."""
-    named = measured(docs, text)
-    return named.withColumn(column, model.column()).drop(*[f"_s_{n}" for n in STATISTICS])
+    empty texts are scored as texts without words; repeated rows and null ids each keep their row.
+    A column of the name ``column`` is replaced, so choose one that isn't there."""
+    return docs.withColumn(column, model.column(text_of(text)))
