@@ -29,7 +29,6 @@ NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
 SKETCH = 256  # bits that tell how many elements two sets differ in at least
-FINER = 8  # times as many segments where allocation goes by counted frequencies
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
 PROBE = 1 << 40  # a probe's weight in a key's tally, above any count of rows
@@ -114,7 +113,7 @@ class Segments:
         return mix(self.sums + self.seeds)
 
 
-def dealt(elements: np.ndarray, scrambled: np.ndarray, threshold: Threshold, finer: int = 0) -> Iterator[Segments]:
+def dealt(elements: np.ndarray, scrambled: np.ndarray, threshold: Threshold) -> Iterator[Segments]:
     """The set's segments in its own size band and, if partners reach it, the next. Bands in which
     only equal sets link are left out."""
     size = len(elements)
@@ -127,14 +126,14 @@ def dealt(elements: np.ndarray, scrambled: np.ndarray, threshold: Threshold, fin
         differ = threshold.differ(2 * high)
         if not differ:
             continue
-        segments = (differ + 1) * finer if finer else differ + 1 + SPARE
-        place = (mix(elements ^ mix(np.uint64([band * 7919 + 13 + finer]))) % np.uint64(segments)).astype(np.int64)
+        segments = differ + 1 + SPARE
+        place = (mix(elements ^ mix(np.uint64([band * 7919 + 13]))) % np.uint64(segments)).astype(np.int64)
         counts = np.bincount(place, minlength=segments)
         order = np.argsort(place, kind="stable")
         running = np.zeros(size + 1, np.uint64)
         np.cumsum(scrambled[order], out=running[1:])
         ends = np.cumsum(counts)
-        seeds = mix(np.uint64((band << 32) + (finer << 48)) + np.arange(segments, dtype=np.uint64))
+        seeds = mix(np.uint64(band << 32) + np.arange(segments, dtype=np.uint64))
         units = threshold.differ(size + min(high, most)) + 1
         yield Segments(band, units, place, counts, order, running[ends] - running[ends - counts], seeds)
 
@@ -250,7 +249,7 @@ def near_groups(
     the key's hub, the class with the most shared keys: in a large group of near copies that is
     its origin, so the group becomes one component in a number of checks that is linear in its
     size. Classes that share a key and are still in different components are then joined once more,
-    by finer segments of which each probes its rarest. So every link between components is found,
+    by single elements, of which each probes its rarest. So every link between components is found,
     but no pair inside one needs a check, and few that are alike but not enough.
     """
     ship(docs.sparkSession)
@@ -331,50 +330,52 @@ def parities(elements: np.ndarray) -> np.ndarray:
 def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """``a, b, split``: pairs of classes ``rep`` in different components ``comp`` that may link.
 
-    The sets are dealt into finer segments, and each probes those of its subsets that are counted to
-    be rarest, as many as it needs. Either set of a linked pair finds the other, so only the one
-    whose probes cost less has to. Sets alike but not enough differ in more segments than they
-    need to probe, and mostly meet nowhere; where they do, sizes and sketches rule most pairs out.
+    The finest partition of the universe has an element in each segment. Of two linked sets either
+    lacks at most ``differ`` of the other's elements, so each probes one more than that of its own,
+    allocated by cost: those counted to be in the fewest other sets. Only the set whose probes cost
+    less has to find the other. Where sets that are alike but not enough meet all the same, sizes
+    and sketches rule most pairs out before they leave the join.
     """
-
     bits = [f"s{i}" for i in range(SKETCH // 64)]
-    names = ["key", "rep", "comp", "band", "units", "n", *bits]
+    read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def elements_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, ROUND_ROWS):
-            found = []
-            for rep, comp, text in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                elements = shingles(text, width)
-                sketch = parities(elements).tolist()
-                for s in dealt(elements, scramble(elements), threshold, FINER):
-                    found.append((s.whole.view(np.int64), rep, comp, s.band, s.units, len(elements), *sketch))
-            if found:
-                lengths = [len(f[0]) for f in found]
-                columns = [pa.array(np.concatenate([f[0] for f in found]))]
-                for i in range(1, len(names)):
-                    columns.append(pa.array(np.repeat(np.array([f[i] for f in found], np.int64), lengths)))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            sets = [scramble(shingles(t, width)) for t in part.column(2).to_pylist()]
+            lengths = np.array([len(x) for x in sets])
+            columns = [np.repeat(part.column(i).to_numpy(), lengths) for i in (0, 1)]
+            keys = np.concatenate(sets).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (keys, *columns, np.repeat(lengths, lengths))], names=["key", "rep", "comp", "n"]
+            )
 
-    read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
-    keyed = cut_lineage(read.mapInArrow(run, ", ".join(f"{n} bigint" for n in names)))
+    def sketches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, ROUND_ROWS):
+            found = np.array([parities(shingles(t, width)) for t in part.column(2).to_pylist()]).reshape(-1, len(bits))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(found[:, i]) for i in range(len(bits)))], names=["rep", *bits]
+            )
+
+    keyed = read.mapInArrow(elements_of, "key bigint, rep bigint, comp bigint, n bigint").repartition("key")
+    sketches = read.mapInArrow(sketches_of, ", ".join(f"{c} bigint" for c in ("rep", *bits)))
     often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    # A key within one component costs nothing.
-    counted = keyed.join(often.select("key", F.when(F.col("lo") != F.col("hi"), F.col("often")).otherwise(0).alias("often")), "key")
-    own = Window.partitionBy("rep", "band")
-    chosen = counted.withColumn("place", F.row_number().over(own.orderBy("often", "key"))).withColumn(
-        "cost", F.sum(F.when(F.col("place") <= F.col("units"), F.col("often")).otherwise(0)).over(own)
-    )
-    probe = (F.col("place") <= F.col("units")).alias("probe")
-    chosen = cut_lineage(chosen.where("often > 0").select("key", "rep", "comp", "cost", "n", *bits, probe))
+    # An element of one component costs nothing to probe and finds nothing, so it is only counted.
+    met = keyed.join(often.where("lo <> hi").select("key", "often"), "key")
+    own = Window.partitionBy("rep")
+    short, whole = threshold.numerator, threshold.denominator
+    needed = F.expr(f"n - (n * {short}L + {whole - 1}L) div {whole}L + 1") - (F.col("n") - F.count("*").over(own))
+    placed = met.withColumns({"place": F.row_number().over(own.orderBy("often", "key")), "needed": needed})
+    cost = F.sum(F.when(F.col("place") <= F.col("needed"), F.col("often")).otherwise(0)).over(own)
+    chosen = placed.withColumn("cost", cost).withColumn("probe", F.col("place") <= F.col("needed"))
+    chosen = cut_lineage(chosen.join(sketches, "rep").select("key", "rep", "comp", "n", "cost", "probe", *bits))
     p, q = chosen.where("probe").alias("p"), chosen.alias("q")
     cheaper = "p.comp <> q.comp and (p.cost < q.cost or p.cost = q.cost and p.rep < q.rep)"
     differ = " + ".join(f"bit_count(p.{b} ^ q.{b})" for b in bits)
-    low, high = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
-    alike = f"({differ}) * {high}L <= (p.n + q.n) * {low}L"
-    sizes = f"least(p.n, q.n) * {threshold.denominator}L >= greatest(p.n, q.n) * {threshold.numerator}L"
+    alike = f"({differ}) * {whole + short}L <= (p.n + q.n) * {whole - short}L"
+    sizes = f"least(p.n, q.n) * {whole}L >= greatest(p.n, q.n) * {short}L"
     found = p.join(q, (F.col("p.key") == F.col("q.key")) & F.expr(f"{cheaper} and {sizes} and {alike}"))
-    found = found.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
-    return found.select("a", "b").distinct().withColumn("split", F.lit(1).cast("bigint"))
+    pairs = found.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
+    return pairs.withColumn("split", F.lit(1).cast("bigint"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -120,7 +120,11 @@ class Templates:
         for name in self.sizes:
             for b in sets[name]:
                 self.holders.setdefault(b, []).append(name)
-        self.bound = {n: (s * threshold / (2 - threshold), s * (2 - threshold) / threshold) for n, s in self.sizes.items()}
+        slack = 1e-9  # a size right at a bound is within it, however the quotient was rounded
+        self.bound = {
+            n: (s * threshold / (2 - threshold) - slack, s * (2 - threshold) / threshold + slack)
+            for n, s in self.sizes.items()
+        }
         self.most = max((high for _, high in self.bound.values()), default=0)
 
     def best_run(self, lines: list[tuple[list[str], int, int]], first: int) -> Match | None:
@@ -146,7 +150,7 @@ class Templates:
                 low, high = self.bound[name]
                 if low <= len(seen) <= high:
                     dice = 2 * shared / (len(seen) + self.sizes[name])
-                    if dice >= self.threshold and (best is None or (dice, -end) > (best.dice, -best.end)):
+                    if dice >= self.threshold - 1e-12 and (best is None or (dice, -end) > (best.dice, -best.end)):
                         best = Match(name, dice, lines[first][1], end)
         return best
 
