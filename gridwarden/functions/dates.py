@@ -11,26 +11,37 @@ from pyspark.sql import types as T
 from ..session import require_utc
 
 
+# Fixed value: text that begins with a whole date. Spark alone would read "12:30" as today, "2026-1" as a
+# day and, for dates, ignore whatever follows the day.
+WHOLE_DATE = r"^\s*\d{4,6}-\d{1,2}-\d{1,2}\s*$|^\s*\d{4,6}-\d{1,2}-\d{1,2}[ T]\s*\d"
+
+
+def _iso(text: Column) -> Column:
+    """ISO text as a timestamp; null unless it has a whole date and nothing unreadable after it."""
+    return F.when(text.rlike(WHOLE_DATE), text.try_cast("timestamp"))
+
+
 def to_utc(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
-    """The column as a UTC timestamp. Text is read as ISO first, then by each of ``formats``."""
+    """The column as a UTC timestamp. Text is read as ISO with a whole date first, then by each of
+    ``formats``."""
     require_utc(df)
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")
     text = c.cast("string")
-    return F.coalesce(
-        text.try_cast("timestamp"), *[F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    )
+    return F.coalesce(_iso(text), *[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
 def to_day(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
-    """The calendar day as written; a time of day or an offset after it does not move it."""
+    """The calendar day as written; a time of day or an offset after it does not move it, and
+    anything else after it makes it unreadable."""
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("date")
     text = c.cast("string")
     return F.coalesce(
-        text.try_cast("date"), *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
+        F.when(_iso(text).isNotNull(), text.try_cast("date")),
+        *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats],
     )
 
 

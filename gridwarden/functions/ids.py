@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
+# The two valid forms of an id.
 BARE_ID = "^[0-9A-Fa-f]{12}$"
 COLON_ID = "^([0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}$"
 

@@ -27,8 +27,12 @@ SIGMA = 3.0
 
 REASON_MODES = ("first_reading", "first_breach")
 
-# Thresholds are broadcast only when counted to be at most this many rows (some 100 bytes each).
-BROADCAST_ROWS = 1_000_000
+# Measured thresholds are broadcast only up to this size.
+BROADCAST_BYTES = 64 << 20
+# Recent rows of one key and week that one join task should get at most.
+SPLIT_ROWS = 200_000
+# So many of the busiest keys and weeks are split. Any other has at most one in so many of all rows.
+SPLIT_KEYS = 10_000
 
 
 def scoring_rows(
@@ -88,7 +92,7 @@ def _stats_sql(grid: WeekGrid, width: int) -> str:
         )
     gaps = "" if all(grid.baseline) else f"WHERE week_start <> DATE'{NO_WEEK.isoformat()}'"
     return f"""moments AS (
-  SELECT k, bucket, min(ts) AS first_ts, {", ".join(moments)}
+  SELECT k, bucket, min(ts) AS first_ts, count(*) AS n_rows, {", ".join(moments)}
   FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}})
   GROUP BY k, bucket
 ), spread AS (
@@ -99,10 +103,11 @@ def _stats_sql(grid: WeekGrid, width: int) -> str:
   SELECT *, {", ".join(centred)} FROM spread {gaps} WINDOW w AS (PARTITION BY k, week_start)
 ), merged AS (
   SELECT k, week_start, min(if(array_contains(recent_weeks, week_start), first_ts, null)) AS first_ts,
+         sum(if(array_contains(recent_weeks, week_start), n_rows, 0)) AS n_rows,
          {", ".join(merged)}
   FROM centred GROUP BY k, week_start
 ), stats AS (
-  SELECT week_start, k, first_ts, {", ".join(stats)} FROM merged
+  SELECT week_start, k, first_ts, n_rows, {", ".join(stats)} FROM merged
 )"""
 
 
@@ -137,21 +142,29 @@ def _thresholds_sql(grid: WeekGrid, width: int, sigma: float, floor: float | Non
             limit = f"if({limit} < {floor!r}d, cast(raise_error('{complaint}') AS double), {limit})"
         limits.append(f"{limit} AS limit{i}")
     return f"""{_stats_sql(grid, width)}, thresholds AS (
-  SELECT k, week_start, first_ts, {", ".join(limits)} FROM stats WHERE first_ts IS NOT NULL
+  SELECT k, week_start, first_ts, n_rows, {", ".join(limits)} FROM stats WHERE first_ts IS NOT NULL
 )"""
 
 
-def _salts(df: DataFrame) -> int:
-    """How many ways the rows of one gateway and week are spread: a power of two that grows with
-    the cluster's shuffle width."""
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4
-    return max(8, min(256, 1 << max(wanted, 1).bit_length() - 1))
+def _hot_sql(width: int) -> str:
+    """``hot``: the keys and weeks with more recent rows than one join task should get, and over how
+    many tasks to spread them. The counts come with the moments, so nothing is read again. The list
+    is short by its limit, whatever the data, and so may be broadcast; what falls off it is no
+    smaller a result, only a less even one. It is ordered by every column of the thresholds, so that
+    this use of them is the same as the join's, and the rows are shuffled for both at once."""
+    limits = ", ".join(f"limit{i}" for i in range(width))
+    return f"""hot AS (
+  SELECT k, week_start, 1 + n_rows div {SPLIT_ROWS} AS salts FROM thresholds
+  WHERE n_rows > {SPLIT_ROWS} ORDER BY n_rows DESC, k, week_start, first_ts, {limits} LIMIT {SPLIT_KEYS}
+), salted AS (
+  SELECT /*+ BROADCAST(hot) */ thresholds.*, explode(sequence(0L, coalesce(hot.salts, 1L) - 1L)) AS salt
+  FROM thresholds LEFT JOIN hot USING (k, week_start)
+)"""
 
 
 def _flagged_sql(
     grid: WeekGrid,
     width: int,
-    salts: int,
     where: str = "true",
     keep_silent: bool = False,
     small: bool = False,
@@ -159,28 +172,36 @@ def _flagged_sql(
     """From ``{rows}`` and ``thresholds`` to ``flagged``: the recent rows with ``flag0..``, their sum
     ``flags`` and the first flagged position ``hit``.
 
-    ``small`` thresholds are broadcast and the raw rows stay where they are. Otherwise a salt
-    spreads a busy gateway's week over tasks; the threshold side has one row per key, week and
-    salt, so it is the safe hash-build side and the raw rows need no sort. ``keep_silent`` also
-    keeps the gateways that have none of the rows, as rows without flags.
+    ``small`` thresholds are broadcast and the raw rows stay where they are. Otherwise both sides
+    are shuffled, and only keys and weeks counted to be hot are spread by a salt, so the threshold
+    side has one row for each key and week besides. It is far smaller than the raw rows, so it is
+    the hash-build side and the raw rows need no sort. ``keep_silent`` also keeps the gateways that
+    have none of the rows, as rows without flags.
 
-    There is no filter on the week: rows of no scored week match no threshold. A filter would make
-    this use of deduplicated rows differ from the statistics' use, and cost a second shuffle.
+    Rows of no scored week match no threshold and are dropped after the deduplication's shuffle. A
+    plain filter would move below it and make this use of the rows differ from the statistics' use,
+    at the cost of a second such shuffle; rand() (never above 1) keeps the filter where it is.
     """
     flags = ", ".join(f"coalesce(cast(x{i} > limit{i} AS int), 0) AS flag{i}" for i in range(width))
     cases = " ".join(f"WHEN flag{i} = 1 THEN {i}" for i in range(width))
     total = " + ".join(f"flag{i}" for i in range(width))
+    scored = f"(week_start <> DATE'{NO_WEEK.isoformat()}' OR rand(0) > 2)"
+    recent = f"""recent AS (
+  SELECT * FROM (
+    SELECT *, {grid.recent_week("bucket")} AS week_start
+    FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}} WHERE {where})
+  ) WHERE {scored}
+)"""
     if small:
         joined = "SELECT /*+ BROADCAST(thresholds) */ * FROM recent JOIN thresholds USING (k, week_start)"
     else:
         side = "RIGHT" if keep_silent else "INNER"
-        joined = f"""SELECT /*+ SHUFFLE_HASH(salted) */ * FROM recent {side} JOIN (
-    SELECT *, explode(sequence(0L, {salts - 1}L)) AS salt FROM thresholds
-  ) salted USING (k, week_start, salt)"""
-    return f"""recent AS (
-  SELECT *, {grid.recent_week("bucket")} AS week_start, xxhash64(ts) & {salts - 1} AS salt
-  FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}} WHERE {where})
-), joined AS (
+        recent += f""", {_hot_sql(width)}, dealt AS (
+  SELECT /*+ BROADCAST(hot) */ recent.*, pmod(xxhash64(ts), coalesce(hot.salts, 1L)) AS salt
+  FROM recent LEFT JOIN hot USING (k, week_start)
+)"""
+        joined = f"SELECT /*+ SHUFFLE_HASH(salted) */ * FROM dealt {side} JOIN salted USING (k, week_start, salt)"
+    return f"""{recent}, joined AS (
   {joined}
 ), flagged AS (
   SELECT *, {flags}, {total} AS flags, CASE {cases} END AS hit FROM joined
@@ -209,12 +230,18 @@ def flag_rows(
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
     named = ", ".join(f"flag{i} AS `flag_{m}`" for i, m in enumerate(metrics))
     return _run(
-        f"WITH {_thresholds_sql(grid, width, sigma)}, {_flagged_sql(grid, width, _salts(rows))} "
+        f"WITH {_thresholds_sql(grid, width, sigma)}, {_flagged_sql(grid, width)} "
         f"SELECT week_start, k AS `{key}`, ts, {named}, flags, {_metric_name(metrics)} FROM flagged",
         rows,
     )
 
 
+def _bytes(thresholds: DataFrame, width: int) -> int:
+    """Size of the thresholds: fixed columns and the ids' own bytes."""
+    n, ids = thresholds.selectExpr("count(*)", "coalesce(sum(octet_length(cast(k AS string))), 0)").first()
+    return ids + n * (40 + 8 * width)
+
+
 def score_weeks(
     telemetry: DataFrame,
     weeks: Sequence[date],
@@ -238,8 +265,8 @@ def score_weeks(
     metric cannot be flagged and skip the join. A threshold below the floor disproves the claim
     and raises.
 
-    ``measure`` runs the thresholds as a job of their own, checkpoints and counts them, and
-    broadcasts them if they are few. Then no raw row is shuffled, provided ``order`` is not needed;
+    ``measure`` runs the thresholds as a job of their own (before any action on the result; it
+    needs spark.checkpoint.dir), checkpoints and measures them, and broadcasts them if they are small. Then no raw row is shuffled, provided ``order`` is not needed;
     with it, one job that shares the deduplication is the better plan. ``derived`` says that the
     telemetry is not a stored table but comes out of a shuffle (cleaning, say): both uses of it are
     then kept identical, so that they share that shuffle, instead of cutting one to the recent days.
@@ -253,7 +280,7 @@ def score_weeks(
     tables, small = {}, False
     if measure:
         thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows))
-        small = thresholds.count() <= BROADCAST_ROWS
+        small = _bytes(thresholds, width) <= BROADCAST_BYTES
         tables = {"measured": thresholds}
         steps = ["thresholds AS (SELECT * FROM {measured})"]
     filters = ["true"]
@@ -262,7 +289,7 @@ def score_weeks(
     skip_floor = floor is not None and not small
     if skip_floor:
         filters.append("(" + " or ".join(f"x{i} > {floor!r}d" for i in range(width)) + ")")
-    steps.append(_flagged_sql(grid, width, _salts(rows), " and ".join(filters), skip_floor, small))
+    steps.append(_flagged_sql(grid, width, " and ".join(filters), skip_floor, small))
     if reason_mode == "first_breach":
         hit = "min(if(hit IS NULL, null, struct(ts, hit))).hit"
     else:

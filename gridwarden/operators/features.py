@@ -115,9 +115,10 @@ def gateway_features(
     The master is made unique before the joins. Every joined side has one row per gateway, so the
     result is that of removing duplicates afterwards, and no key can fan out.
     """
+    if not order:
+        raise ValueError("order must say which of a gateway's rows in the master comes first")
     cleaned = master.withColumn("gateway_id", clean_id(F.col("gateway_id"), drop_spaces=True))
-    if order:
-        cleaned = keep_by_key(cleaned, ["gateway_id"], order).drop(*order)
+    cleaned = keep_by_key(cleaned, ["gateway_id"], order).drop(*order)
     out = _left_join(cleaned, telemetry_features(telemetry), "gateway_id")
     for family in (meter_features(meter), visit_features(visits)):
         if family is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import drop_all_null_columns, require_columns
@@ -54,7 +54,21 @@ def value_counts(df: DataFrame, column: str, keep_null: bool = False) -> DataFra
     return counts.withColumn("share", F.col("count") / total.scalar())
 
 
-def table_size(df: DataFrame, distinct: Sequence[str] = ()) -> DataFrame:
-    """One row: ``rows`` and the number of distinct non-null values of each listed column."""
-    uniques = [F.count_distinct(name).alias(f"unique_{name}") for name in distinct]
-    return df.agg(F.count("*").alias("rows"), *uniques)
+def distinct_values(df: DataFrame, column: str) -> Column:
+    """The number of distinct non-null values, as a scalar. Grouping instead of counting distinct
+    keeps several of these apart; Spark would merge the latter into one pass over multiplied rows."""
+    values = df.where(F.col(column).isNotNull()).select(column).distinct()
+    return values.agg(F.count("*")).scalar()
+
+
+def table_size(df: DataFrame, distinct: Sequence[str] = (), approx: float | None = None) -> DataFrame:
+    """One row: ``rows`` and the number of distinct non-null values of each listed column.
+
+    Each column is counted on its own, so no row is multiplied. ``approx`` is the relative deviation
+    allowed; the counts are then sketched in the one pass that counts the rows.
+    """
+    if approx is not None:
+        sketches = [F.approx_count_distinct(name, approx).alias(f"unique_{name}") for name in distinct]
+        return df.agg(F.count("*").alias("rows"), *sketches)
+    exact = [distinct_values(df, name).alias(f"unique_{name}") for name in distinct]
+    return df.agg(F.count("*").alias("rows")).select("rows", *exact)

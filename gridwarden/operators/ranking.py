@@ -98,7 +98,8 @@ def rank_weeks(
 
 def require_full(ranking: DataFrame, weeks: Sequence[date], n: int = TOP_N) -> DataFrame:
     """Raise unless every week has ``n`` rows. Runs the ranking; pass a written one to save work."""
-    found = {r["week_start"]: r["count"] for r in ranking.groupBy("week_start").count().take(len(weeks) + 1)}
+    asked = ranking.where(F.col("week_start").cast("string").isin([w.isoformat() for w in weeks]))
+    found = {str(r["week_start"]): r["count"] for r in asked.groupBy("week_start").count().collect()}  # a row a week
     for week in weeks:
         have = found.get(week.isoformat(), 0)
         if have < n:

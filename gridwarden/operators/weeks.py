@@ -76,6 +76,14 @@ def week_grid(weeks: Sequence[date], baseline_days: int = 28, recent_days: int =
     return WeekGrid(origin, weeks[-1], step, holders(baseline_days), holders(recent_days))
 
 
+def grid_months(weeks: Sequence[date], baseline_days: int = 28) -> list[str]:
+    """The months (``yyyy-MM``) that the windows touch and one more on either side, for data whose
+    folders follow another clock than the readings."""
+    low = min(weeks) - timedelta(days=baseline_days)
+    first, last = low.year * 12 + low.month - 2, max(weeks).year * 12 + max(weeks).month
+    return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
+
 def mondays(first: date, count: int) -> list[date]:
     return [first + timedelta(days=7 * i) for i in range(count)]
 

@@ -19,7 +19,7 @@ from ..operators import profile
 from ..operators.anomaly import METRICS
 from ..operators.ranking import FIRST_SCORED_WEEK, SCORED_WEEK_COUNT, TOP_N, rank_weeks, require_full
 from ..operators.validate import validate
-from ..operators.weeks import mondays
+from ..operators.weeks import grid_months, mondays
 from ..session import use_utc
 from ..sources import readers, sinks
 
@@ -47,7 +47,9 @@ def run_flow(
     sinks.write_telemetry(clean_telemetry(raw, readers.FILE_ORDER), f"{out}/telemetry_clean")
     telemetry = spark.read.parquet(f"{out}/telemetry_clean").drop("month")
 
-    raw_visits = readers.read_field_visits(spark, visits_path or f"{base}/field_visits.csv")
+    raw_visits = readers.read_field_visits(
+        spark, visits_path or [f"{base}/field_visits.csv", f"{base}/field_visits.parquet"]
+    )
     visits = None
     if raw_visits is not None:
         sinks.write_parquet(clean_visits(raw_visits), f"{out}/field_visits_clean")
@@ -59,9 +61,7 @@ def run_flow(
     order = [c for c in readers.CSV_ORDER if c in reviews.columns]
     sinks.write_parquet(clean_reviews(reviews, order), f"{out}/engineer_reviews_clean")
 
-    meter = readers.read_meter_reads(
-        spark, meter_paths or [f"{base}/meter_reads.csv", f"{base}/meter_reads.parquet"]
-    )
+    meter = readers.read_meter_reads(spark, meter_paths or readers.meter_read_paths(base))
     master = readers.read_gateway_master(spark, f"{base}/gateway_master.csv", with_order=True)
     features = gateway_features(master, telemetry, meter, visits, readers.CSV_ORDER)
     sinks.write_parquet(features, f"{out}/features")
@@ -73,7 +73,8 @@ def run_flow(
     sinks.write_csv(by_percent(compare_classes(training)), f"{out}/feature_comparison", single_file=True)
 
     # counters are non-negative after cleaning, so readings of 0 need not reach a shuffled join
-    ranking = rank_weeks(telemetry, weeks, n, floor=0.0, measure=True).orderBy("week_start", "rank")
+    recent = readers.clean_months(spark, f"{out}/telemetry_clean", grid_months(weeks))
+    ranking = rank_weeks(recent, weeks, n, floor=0.0, measure=True).orderBy("week_start", "rank")
     sinks.write_csv(ranking, f"{out}/ranking", single_file=True)
     ranking = readers.read_csv(spark, f"{out}/ranking")
     return {
@@ -99,7 +100,10 @@ def rank_raw(
     use_utc(spark)
     weeks = list(weeks or scored_weeks())
     raw = readers.read_telemetry(
-        spark, f"{data_dir.rstrip('/')}/telemetry", columns=["gateway_id", "ts_utc", *METRICS]
+        spark,
+        f"{data_dir.rstrip('/')}/telemetry",
+        columns=["gateway_id", "ts_utc", *METRICS],
+        months=grid_months(weeks),
     )
     timed = raw.withColumn("ts_utc", raw["ts_utc"].cast("timestamp"))
     ranking = rank_weeks(timed, weeks, n, reason_mode="first_breach", measure=True)
@@ -122,15 +126,19 @@ def quality_report(
     visits_path: str | None = None,
     reviews_paths: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The profiles of telemetry (per file and overall) and of the other inputs that exist."""
+    """The profiles of telemetry (per file, by the columns of each, and overall) and of the other
+    inputs that exist. Without telemetry files it says so and goes on."""
     use_utc(spark)
     base = data_dir.rstrip("/")
-    report = profile.profile_telemetry(
-        readers.read_telemetry(spark, f"{base}/telemetry", with_path=True)
-    )
+    try:
+        files = readers.read_telemetry_groups(spark, f"{base}/telemetry", with_path=True)
+        report = profile.profile_telemetry_files(files, readers.union_groups(files))
+    except FileNotFoundError:
+        report = spark.createDataFrame([("telemetry", "all", "rows", "0")], profile.RESULT)
+    meters = readers.meter_read_paths(base)
     optional = [
-        (profile.profile_meter, meter_paths or [f"{base}/meter_reads.parquet", f"{base}/meter_reads.csv"]),
-        (profile.profile_visits, [visits_path or f"{base}/field_visits.csv"]),
+        (profile.profile_meter, meter_paths or [meters[1], meters[0], *meters[2:]]),
+        (profile.profile_visits, [visits_path] if visits_path else [f"{base}/field_visits.parquet", f"{base}/field_visits.csv"]),
         (
             profile.profile_reviews,
             reviews_paths or [f"{base}/engineer_reviews.csv", f"{base}/engineer_reviews.parquet"],

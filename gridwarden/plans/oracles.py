@@ -22,11 +22,20 @@ UNIQUE = """tele AS (
   QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1
 )"""
 
+# Readings sent twice: the first one counts. One week has no data.
+REPEATED = """sent AS (
+  SELECT printf('%012X', user_id) AS gateway_id, ts, event_id, copy, value + copy * 5000 AS x0,
+         CAST(event_type = 'error' AS INTEGER) AS x1, CAST(event_type = 'signup' AS INTEGER) AS x2
+  FROM events, unnest(range(0, CASE WHEN event_id % 5 = 0 THEN 2 ELSE 1 END)) AS u(copy)
+), tele AS (
+  SELECT * FROM sent QUALIFY row_number() OVER (PARTITION BY gateway_id, ts ORDER BY event_id, copy) = 1
+)"""
+
 DIRTY = """dirty AS (
   SELECT CASE WHEN event_id % 3 = 0 THEN ' ' || concat_ws(':',
            substr(low, 1, 2), substr(low, 3, 2), substr(low, 5, 2),
            substr(low, 7, 2), substr(low, 9, 2), substr(low, 11, 2)) || chr(9) ELSE bare END AS gateway_id,
-         CASE WHEN event_id % 97 = 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_utc,
+         CASE WHEN event_id % 97 = 0 THEN ['bad', '12:30', 'T10:00', '2024-01', '2024-01-05 junk'][1 + event_id // 97 % 5] ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts_utc,
          CASE WHEN event_id % 11 = 0 THEN 'abc' WHEN event_id % 13 = 0 THEN '-' || reading
               ELSE ' ' || reading END AS offline_duration_sec,
          CASE WHEN event_id % 17 = 0 THEN '5d' ELSE CAST(CAST(event_type = 'error' AS INTEGER) AS VARCHAR) END
@@ -64,7 +73,9 @@ CLEAN = (
 VISITS = """visits AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS visit_id,
          printf('%012X', l_suppkey) AS gateway_id,
-         CASE WHEN l_linenumber = 5 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS requested_on,
+         CASE WHEN l_linenumber = 5 THEN ['soon', strftime(o_orderdate, '%Y-%m'),
+                strftime(o_orderdate, '%Y-%m-%d') || ' junk', '12:30'][1 + l_orderkey % 4]
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS requested_on,
          strftime(l_shipdate, '%Y-%m-%d') AS visited_on,
          o_orderpriority AS reason_reported,
          CASE WHEN l_returnflag = 'R' THEN ' Fehler  behöben ' WHEN l_returnflag = 'A' THEN 'Kein Fehler gefunden'
@@ -73,7 +84,8 @@ VISITS = """visits AS (
               WHEN l_linenumber <> 7 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS technician_hours,
          CASE WHEN l_linestatus = 'F' AND l_linenumber = 2 THEN ' N  A '
               WHEN l_linestatus = 'F' THEN 'Netzteil' END AS parts_replaced
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey,
+       unnest(range(0, CASE WHEN l_orderkey % 20 = 0 THEN 2 ELSE 1 END)) AS u(copy)
 )"""
 
 CLEAN_VISITS = (
@@ -102,7 +114,7 @@ REVIEWS = """reviews AS (
            AS gateway_id,
          CASE WHEN s_suppkey % 13 = 12 THEN NULL WHEN (s_nationkey % 3 = 0) <> (copy = 1) THEN ' Schlecht '
               ELSE 'gut' END AS "Kategorie",
-         CASE WHEN s_suppkey % 7 = 6 THEN 'n/a' ELSE '2026-02-15' END AS reviewed_on, copy
+         CASE s_suppkey % 7 WHEN 6 THEN 'n/a' WHEN 5 THEN '2026-2' ELSE '2026-02-15' END AS reviewed_on, copy
   FROM supplier, unnest(range(0, CASE WHEN s_suppkey % 10 = 0 THEN 2 ELSE 1 END)) AS u(copy)
 )"""
 
@@ -219,7 +231,7 @@ VISIT_FEATURES = (
 )
 
 FEATURES = f"""{TELEMETRY_FEATURES}, {METER_FEATURES}, {VISIT_FEATURES}, features AS (
-  SELECT m.gateway_id, m.name, m.balance, m.nation,
+  SELECT m.gateway_id, m.name, m.balance, m.nation, CAST(NULL AS VARCHAR) AS retired,
          coalesce(total_reboots, 0) AS total_reboots, coalesce(total_disconnections, 0) AS total_disconnections,
          coalesce(total_offline_seconds, 0) AS total_offline_seconds,
          coalesce(avg_offline_seconds, 0) AS avg_offline_seconds,
@@ -235,7 +247,7 @@ FEATURES = f"""{TELEMETRY_FEATURES}, {METER_FEATURES}, {VISIT_FEATURES}, feature
          coalesce(avg_technician_hours, 0) AS avg_technician_hours,
          coalesce(parts_replaced_count, 0) AS parts_replaced_count
   FROM (
-    SELECT printf('%012X', s_suppkey) AS gateway_id, s_name AS name, s_acctbal AS balance, n_name AS nation
+    SELECT printf('%012X', s_suppkey + CASE WHEN s_suppkey % 11 = 5 THEN 2000000 ELSE 0 END) AS gateway_id, s_name AS name, s_acctbal AS balance, n_name AS nation
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
   ) m
   LEFT JOIN telemetry_features t ON t.gateway_id = m.gateway_id
@@ -272,7 +284,8 @@ def _comparison() -> str:
 )
 SELECT feature, round(normal, 6) AS "Normal", round(poor, 6) AS "Schlecht",
        round(poor - normal, 6) AS difference,
-       round((poor - normal) / nullif(normal, 0) * 100, 6) AS difference_percent
+       round((poor - normal) / nullif(normal, 0) * 100, 6) AS difference_percent,
+       CAST(row_number() OVER (ORDER BY (poor - normal) / nullif(normal, 0) DESC NULLS LAST, feature) AS INTEGER) AS place
 FROM sides"""
 
 
@@ -461,6 +474,7 @@ def all_oracles() -> dict[str, str]:
         "weekly_rank_first_breach": _rank(RAW, first_breach=True),
         "weekly_rank_sigma1": _rank(UNIQUE, sigma="1"),
         "weekly_rank_dirty": _rank(CLEAN_TELE, sigma="1.5"),
+        "weekly_rank_repeated": _rank(REPEATED).replace("weeks(week_start) AS (\n  VALUES", "weeks(week_start) AS (\n  VALUES (TIMESTAMP '2023-10-02'),"),
         "weekly_scores": f"WITH {WEEKS}, {UNIQUE}, {_score_ctes(21, 3, '1.5', True)} "
         "SELECT week_start, gateway_id, score, metric FROM scores",
         "weekly_baseline_stats": f"WITH {WEEKS}, {UNIQUE} "
@@ -501,6 +515,10 @@ def all_oracles() -> dict[str, str]:
         "telemetry_features": f"WITH {TELEMETRY_FEATURES} SELECT * "
         + _rounding(("total_offline_seconds", "avg_offline_seconds", "max_offline_seconds", "avg_reboot_duration"))
         + " FROM telemetry_features",
+        "telemetry_features_absent_metric": f"WITH {TELEMETRY_FEATURES} SELECT * REPLACE (CAST(0 AS DOUBLE) AS "
+        "total_reboot_duration, CAST(0 AS DOUBLE) AS avg_reboot_duration, "
+        + _rounding(("total_offline_seconds", "avg_offline_seconds", "max_offline_seconds"))[9:]
+        + " FROM telemetry_features",
         "meter_features": f"WITH {METER_FEATURES} SELECT * "
         + _rounding(("avg_read_rate", "min_read_rate"))
         + " FROM meter_features",
@@ -508,7 +526,7 @@ def all_oracles() -> dict[str, str]:
         + _rounding(("total_technician_hours", "avg_technician_hours"))
         + " FROM visit_features",
         "gateway_features": f"WITH {FEATURES} SELECT * {_rounding(FLOATS)} FROM features",
-        "training_table": f"WITH {FEATURES}, {LABELS}, training AS (SELECT f.*, l.target FROM features f "
+        "training_table": f"WITH {FEATURES}, {LABELS}, training AS (SELECT f.* EXCLUDE (retired), l.target FROM features f "
         f"JOIN label l ON f.gateway_id = l.gateway_key) SELECT * {_rounding(FLOATS)} FROM training",
         "class_balance": f'WITH {REVIEWS} SELECT "Kategorie" AS value, count(*) AS count, '
         "round(count(*) / sum(count(*)) OVER (), 8) AS share "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ def weekly_rank_first_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_weeks(sample.telemetry(spark, sf_dir), WEEKS, reason_mode="first_breach", measure=True)
 
 
+def weekly_rank_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings sent twice with another value, and a week without any data."""
+    weeks = (date(2023, 10, 2), *WEEKS)
+    return ranking.rank_weeks(sample.repeated_telemetry(spark, sf_dir), weeks, order=("sent",))
+
+
 def weekly_rank_sigma1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One deviation instead of three, so that many readings are flagged."""
     return ranking.rank_weeks(sample.telemetry(spark, sf_dir), WEEKS, sigma=1.0, order=ROW_ORDER)
@@ -130,6 +137,12 @@ def telemetry_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, ["total_offline_seconds", "avg_offline_seconds", "max_offline_seconds", "avg_reboot_duration"])
 
 
+def telemetry_features_absent_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = features.telemetry_features(sample.telemetry(spark, sf_dir).drop("reboot_duration_sec"))
+    floats = ["total_offline_seconds", "avg_offline_seconds", "max_offline_seconds"]
+    return _rounded(out, [*floats, "total_reboot_duration", "avg_reboot_duration"])
+
+
 def meter_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(features.meter_features(sample.meter_reads(spark, sf_dir)), ["avg_read_rate", "min_read_rate"])
 
@@ -181,7 +194,9 @@ def class_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``place`` is the row's place in the sorted table, so that the order is part of the rows."""
     table = compare.by_percent(compare.compare_classes(_training(spark, sf_dir, False)))
+    table = table.coalesce(1).withColumn("place", (F.monotonically_increasing_id() + 1).cast("int"))  # a row a feature
     return _rounded(table, ["Normal", "Schlecht", "difference", "difference_percent"], 6)
 
 
@@ -231,6 +246,7 @@ def validate_ranking_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     weekly_rank_3sigma,
     weekly_rank_first_breach,
+    weekly_rank_repeated,
     weekly_rank_sigma1,
     weekly_rank_dirty,
     weekly_scores,
@@ -245,6 +261,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     duplicate_counts,
     table_size,
     telemetry_features,
+    telemetry_features_absent_metric,
     meter_features,
     visit_features,
     gateway_features,

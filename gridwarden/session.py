@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,19 +41,27 @@ def require_utc(df: DataFrame) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
+def _local_folder() -> str:
+    """A folder for a local session that names none; it goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="gridwarden-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows, written once to the session's checkpoint folder, so that later jobs neither
     recompute them nor depend on executors staying alive.
 
-    A cluster names the folder in ``spark.checkpoint.dir``. Only a local session without one gets a
-    temporary folder.
+    A cluster names the folder in ``spark.checkpoint.dir``; queries that write there while they are
+    built fail without it. Only a session whose executors are threads of the driver (``local`` or
+    ``local[n]``) gets a folder of its own.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("spark.checkpoint.dir must name a shared folder")
-            folder = tempfile.mkdtemp(prefix="gridwarden-")
+            folder = _local_folder()
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -15,6 +15,8 @@ from ..operators.weeks import mondays
 
 # The Mondays with data before them in the sample events.
 SAMPLE_WEEKS = tuple(mondays(date(2024, 1, 8), 4))
+# Texts that no date can be read from, among them some that begin like one.
+BAD_TIMES = ("bad", "12:30", "T10:00", "2024-01", "2024-01-05 junk")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,20 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean telemetry in which some readings come twice, the second time with another value;
+    ``sent`` is the row order."""
+    raw = telemetry(spark, sf_dir)
+    copies = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 5 == 0).cast("int")))
+    again = raw.withColumn("copy", copies)
+    return again.withColumns(
+        {
+            "offline_duration_sec": F.col("offline_duration_sec") + F.col("copy") * 5000,
+            "sent": F.col("event_id") * 2 + F.col("copy"),
+        }
+    ).drop("copy", "event_id")
+
+
 def dirty_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as text, with colon ids, bad times, bad and negative numbers, and some readings
     sent twice with another value. ``event_id, copy`` is the row order."""
@@ -54,7 +70,7 @@ def dirty_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     reading = F.round(F.col("value") * 100).cast("bigint") + F.col("copy") * 7
     return copies.select(
         F.when(e % 3 == 0, F.concat(F.lit(" "), pairs, F.lit("\t"))).otherwise(bare).alias("gateway_id"),
-        F.when(e % 97 == 0, F.lit("bad"))
+        F.when(e % 97 == 0, F.get(F.array(*map(F.lit, BAD_TIMES)), F.floor(e / 97) % len(BAD_TIMES)))
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         .alias("ts_utc"),
         F.when(e % 11 == 0, F.lit("abc"))
@@ -72,15 +88,19 @@ def dirty_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as field visits, dates and hours as text."""
+    """Order lines as field visits, dates and hours as text; the lines of some orders come twice."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    again = F.explode(F.sequence(F.lit(0), (F.col("l_orderkey") % 20 == 0).cast("int")))
+    joined = joined.withColumn("copy", again)
     line = F.col("l_linenumber")
+    ordered = day(F.col("o_orderdate"))
+    bad = [F.lit("soon"), F.substring(ordered, 1, 7), F.concat(ordered, F.lit(" junk")), F.lit("12:30")]
     hours = F.col("l_quantity").cast("int").cast("string")
     return joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string")).alias("visit_id"),
         hex_id(F.col("l_suppkey")).alias("gateway_id"),
-        F.when(line == 5, F.lit("soon")).otherwise(day(F.col("o_orderdate"))).alias("requested_on"),
+        F.when(line == 5, F.get(F.array(*bad), F.col("l_orderkey") % 4)).otherwise(ordered).alias("requested_on"),
         day(F.col("l_shipdate")).alias("visited_on"),
         F.col("o_orderpriority").alias("reason_reported"),
         F.when(F.col("l_returnflag") == "R", F.lit(" Fehler  behöben "))
@@ -106,15 +126,18 @@ def meter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gateway_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as gateways; some appear twice, ``copy`` is the row order."""
+    """Suppliers as gateways; some appear twice, ``copy`` is the row order. Some have ids that no
+    other table knows, and nothing is known of retirements."""
     suppliers, nations = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     joined = suppliers.join(nations, suppliers["s_nationkey"] == nations["n_nationkey"])
     copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("s_suppkey") % 10 == 0).cast("int"))))
+    key = F.col("s_suppkey")
     return copies.select(
-        hex_id(F.col("s_suppkey")).alias("gateway_id"),
+        hex_id(F.when(key % 11 == 5, key + 2_000_000).otherwise(key)).alias("gateway_id"),
         F.concat("s_name", F.when(F.col("copy") == 1, F.lit(" (moved)")).otherwise(F.lit(""))).alias("name"),
         F.col("s_acctbal").alias("balance"),
         F.col("n_name").alias("nation"),
+        F.lit(None).cast("string").alias("retired"),
         "copy",
     )
 
@@ -128,6 +151,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies.select(
         F.when(key % 3 == 0, F.lower(hex_id(key))).otherwise(hex_id(key)).alias("gateway_id"),
         F.when(key % 13 == 12, F.lit(None)).when(poor, F.lit(" Schlecht ")).otherwise(F.lit("gut")).alias("Kategorie"),
-        F.when(key % 7 == 6, F.lit("n/a")).otherwise(F.lit("2026-02-15")).alias("reviewed_on"),
+        F.when(key % 7 == 6, F.lit("n/a")).when(key % 7 == 5, F.lit("2026-2")).otherwise(F.lit("2026-02-15")).alias("reviewed_on"),
         "copy",
     )

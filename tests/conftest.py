@@ -11,7 +11,7 @@ SAMPLE = Path("/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
@@ -20,9 +20,11 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.maxMetadataStringLength": "5000",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir"))
     yield session
     session.stop()
 

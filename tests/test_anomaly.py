@@ -109,7 +109,7 @@ def test_many_thresholds_are_not_broadcast(spark, monkeypatch):
     expected = scores(df, sigma=1.0)
     few = anomaly.score_weeks(df, [MONDAY], sigma=1.0, measure=True)
     assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(anomaly, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(anomaly, "BROADCAST_BYTES", 100)
     many = anomaly.score_weeks(df, [MONDAY], sigma=1.0, measure=True)
     assert "ShuffledHashJoin" in many._jdf.queryExecution().executedPlan().toString()
     assert scores(df, sigma=1.0, measure=True) == expected == scores(df, sigma=1.0, measure=True, floor=0.0)
@@ -192,6 +192,16 @@ def test_ties_rank_by_id_and_the_cut_is_exact(spark):
         ranking.require_full(ranking.rank_weeks(frame(spark, rows), [MONDAY]), [MONDAY])
 
 
+def test_weeks_can_be_asked_for_one_at_a_time(spark):
+    rows = [r for g in "ABC" for r in steady(g, M - timedelta(days=6), 24 * 60)]
+    weeks = mondays(MONDAY, 8)
+    ranked = ranking.rank_weeks(frame(spark, rows), weeks, n=3).checkpoint()
+    for week in weeks:
+        ranking.require_full(ranked, [week], 3)
+    with pytest.raises(ValueError, match="only 0 gateways"):
+        ranking.require_full(ranked, [date(2020, 1, 6)], 3)
+
+
 def test_reason_texts(spark):
     df = spark.createDataFrame([(19, "disconnection_cnt"), (0, "")], "s bigint, m string")
     texts = [tuple(r) for r in df.select(

@@ -56,6 +56,8 @@ def test_gateway_features(spark):
     assert "total_visits" not in out.columns
     with pytest.raises(ValueError, match="total_reboots"):
         features.gateway_features(master.withColumn("total_reboots", F.lit(1)), telemetry, order=["o"])
+    with pytest.raises(ValueError, match="order"):
+        features.gateway_features(master, telemetry)
 
 
 def test_training_table(spark):

@@ -6,12 +6,12 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from gridwarden.operators import anomaly
 from gridwarden.operators.weeks import mondays
+from gridwarden.plans.queries import all_queries
 from gridwarden.sources import sample_tables
 
-QUERIES = entry_points.queries()
+QUERIES = all_queries()
 
 
 def plan(df):
@@ -58,36 +58,56 @@ def test_top_rows_are_cut_before_the_shuffle(spark, sample_dir):
     assert len(limits) == 1 and text.rindex("Exchange", 0, limits[0]) < limits[0]
 
 
-def test_a_busy_gateway_is_spread(spark):
-    """One gateway with a third of all rows: its join partitions stay small, its score exact."""
-    n = 60_000
+def busy_rows(spark, n=60_000):
+    """One gateway with a third of all rows."""
     start = int(datetime(2026, 1, 5).timestamp())
-    rows = spark.range(0, n, 1, 8).select(
+    return spark.range(0, n, 1, 8).select(
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("G%04d", F.col("id") % 900)).alias("gateway_id"),
         F.timestamp_seconds(F.lit(start) + (F.col("id") * 39) % (28 * 86400)).cast("timestamp_ntz").alias("ts_utc"),
         F.when(F.col("id") % 501 == 0, F.lit(1e6)).otherwise(F.rand(3)).alias("offline_duration_sec"),
         F.lit(0).alias("disconnection_cnt"),
         F.lit(0).alias("reboot_cnt"),
     )
-    week = mondays(date(2026, 2, 2), 1)
-    spread = anomaly.scoring_rows(rows, anomaly.week_grid(week), anomaly.METRICS)
-    salts = anomaly._salts(rows)
-    hot = spread.where("k = 'HOT'").groupBy(F.expr(f"xxhash64(ts) & {salts - 1}")).count()
-    share = [r["count"] for r in hot.collect()]
-    assert len(share) == salts and max(share) < 2 * min(share)
-    scored = {r["gateway_id"]: r["score"] for r in anomaly.score_weeks(rows, week).collect()}
-    expected = rows.where("gateway_id = 'HOT' and offline_duration_sec = 1e6 and ts_utc >= timestamp_ntz'2026-01-26'").count()
-    assert expected > 0 and scored["HOT"] == expected
 
 
-def test_salts_grow_with_the_shuffle(spark):
-    df = spark.range(1)
-    found = {}
-    for partitions in ("4", "200", "5000"):
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        found[partitions] = anomaly._salts(df)
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert found == {"4": 8, "200": 32, "5000": 256}
+def salted(rows, week):
+    grid = anomaly.week_grid(week)
+    sql = f"WITH {anomaly._thresholds_sql(grid, 3, 3.0)}, {anomaly._hot_sql(3)} SELECT k, week_start, salt FROM salted"
+    return anomaly._run(sql, anomaly.scoring_rows(rows, grid, anomaly.METRICS))
+
+
+def test_a_busy_gateway_is_spread(spark, monkeypatch):
+    """Its join partitions stay small, its score exact."""
+    monkeypatch.setattr(anomaly, "SPLIT_ROWS", 1000)
+    rows, week = busy_rows(spark), mondays(date(2026, 2, 2), 1)
+    salts = salted(rows, week).where("k = 'HOT'").count()
+    recent = rows.where("gateway_id = 'HOT' and ts_utc >= timestamp_ntz'2026-01-26'")
+    shares = [r["count"] for r in recent.groupBy(F.expr(f"pmod(xxhash64(ts_utc), {salts})")).count().collect()]
+    assert len(shares) == salts == 1 + sum(shares) // 1000 > 4 and max(shares) < 2 * min(shares)
+    scored = {r["gateway_id"]: r["score"] for r in anomaly.score_weeks(rows, week).collect()}
+    expected = recent.where("offline_duration_sec = 1e6").count()
+    assert expected > 0 and scored["HOT"] == expected
+    monkeypatch.setattr(anomaly, "SPLIT_ROWS", 1 << 40)
+    assert {r["gateway_id"]: r["score"] for r in anomaly.score_weeks(rows, week).collect()} == scored
+
+
+@pytest.mark.parametrize("partitions", ["4", "1000", "4096"])
+def test_only_hot_thresholds_are_copied(spark, monkeypatch, partitions):
+    """As many copies whatever the cluster's width: one a key and week, and the salts of hot ones."""
+    monkeypatch.setattr(anomaly, "SPLIT_ROWS", 1000)
+    rows, week = busy_rows(spark), mondays(date(2026, 2, 2), 1)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        copies = salted(rows, week)
+        hot = rows.where("gateway_id = 'HOT' and ts_utc >= timestamp_ntz'2026-01-26'").count() // 1000
+        assert hot >= 4 and copies.count() == copies.select("k", "week_start").distinct().count() + hot
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_distinct_counts_do_not_multiply_rows(spark, sample_dir):
+    for name in ("dq_visits", "table_size"):
+        assert "gid#" not in plan(QUERIES[name](spark, sample_dir))  # the mark of such an Expand
 
 
 def test_sample_adapters_keep_every_row(spark, sample_dir):
