@@ -262,7 +262,9 @@ def near_groups(
             "id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep")
         )
     )
-    links = _links(docs, sets, class_of, width, threshold, key, text)
+    met = _meetings(sets, class_of)
+    del sets, nodes, classes  # nothing refers to the keys any more, so Spark's cleaner can remove them
+    links = _links(docs, met, width, threshold, key, text)
     roots = connected_components(links)
     found = class_of.join(roots, class_of["rep"] == roots["node"], "left")
     kind = docs.schema[key].dataType
@@ -274,7 +276,9 @@ def near_groups(
     )
 
 
-def _links(docs, sets, class_of, width, threshold, key, text) -> DataFrame:
+def _meetings(sets: DataFrame, class_of: DataFrame) -> DataFrame:
+    """``key, rep, probe, c``: the classes under each key that several share and one probes, and
+    how many they are."""
     # Two numbers a row, as these are the most rows: the key, and the id with a last bit for a probe.
     twice = F.shiftleft("id", 1)
     keyed = sets.select(F.explode("index_keys").alias("key"), twice.alias("who"))
@@ -292,7 +296,10 @@ def _links(docs, sets, class_of, width, threshold, key, text) -> DataFrame:
     )
     met = cut_lineage(met)
     size = met.groupBy("key").agg(F.count("*").alias("c"), F.max("probe").alias("p")).where("c > 1 and p = 1")
-    met = cut_lineage(met.join(size.select("key", "c"), "key"))
+    return cut_lineage(met.join(size.select("key", "c"), "key"))
+
+
+def _links(docs, met, width, threshold, key, text) -> DataFrame:
     weight = met.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("w"))
     rows = cut_lineage(met.join(weight, "rep").select("key", "rep", "probe", "w"))
     wanted = cut_lineage(weight.select(F.col("rep").alias("_rep")))
@@ -331,10 +338,12 @@ def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold:
     """``a, b, split``: pairs of classes ``rep`` in different components ``comp`` that may link.
 
     The finest partition of the universe has an element in each segment. Of two linked sets either
-    lacks at most ``differ`` of the other's elements, so each probes one more than that of its own,
-    allocated by cost: those counted to be in the fewest other sets. Only the set whose probes cost
-    less has to find the other. Where sets that are alike but not enough meet all the same, sizes
-    and sketches rule most pairs out before they leave the join.
+    lacks at most ``differ`` of the other's elements, so each takes one more than that of its own as
+    keys, allocated by cost: those of one component first, which can find nothing and so are only
+    counted, then those in the fewest sets. As both allocate in the same order, the last key of one
+    of them lies no later than the other's last, and a common element up to there is a key of both.
+    A set that has too few elements in other components is left out. Where sets that are alike but
+    not enough meet all the same, sizes and sketches rule most pairs out before they leave the join.
     """
     bits = [f"s{i}" for i in range(SKETCH // 64)]
     read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
@@ -345,35 +354,35 @@ def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold:
             lengths = np.array([len(x) for x in sets])
             columns = [np.repeat(part.column(i).to_numpy(), lengths) for i in (0, 1)]
             keys = np.concatenate(sets).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (keys, *columns, np.repeat(lengths, lengths))], names=["key", "rep", "comp", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, *columns)], names=["key", "rep", "comp"])
 
     def sketches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, ROUND_ROWS):
-            found = np.array([parities(shingles(t, width)) for t in part.column(2).to_pylist()]).reshape(-1, len(bits))
+            sets = [shingles(t, width) for t in part.column(2).to_pylist()]
+            found = np.array([parities(x) for x in sets]).reshape(-1, len(bits))
+            sizes = pa.array([len(x) for x in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(found[:, i]) for i in range(len(bits)))], names=["rep", *bits]
+                [part.column(0), part.column(1), sizes, *(pa.array(found[:, i]) for i in range(len(bits)))],
+                names=["rep", "comp", "n", *bits],
             )
 
-    keyed = read.mapInArrow(elements_of, "key bigint, rep bigint, comp bigint, n bigint").repartition("key")
-    sketches = read.mapInArrow(sketches_of, ", ".join(f"{c} bigint" for c in ("rep", *bits)))
+    # The most rows of this step, so they hold no more than a key needs.
+    keyed = read.mapInArrow(elements_of, "key bigint, rep bigint, comp bigint").repartition("key")
+    sketches = read.mapInArrow(sketches_of, ", ".join(f"{c} bigint" for c in ("rep", "comp", "n", *bits)))
     often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    # An element of one component costs nothing to probe and finds nothing, so it is only counted.
-    met = keyed.join(often.where("lo <> hi").select("key", "often"), "key")
+    met = keyed.join(often.where("lo <> hi").select("key", "often"), "key").select("key", "rep", "often")
     own = Window.partitionBy("rep")
+    place = F.row_number().over(own.orderBy("often", "key"))
+    placed = met.withColumns({"place": place, "have": F.count("*").over(own)}).drop("often")
     short, whole = threshold.numerator, threshold.denominator
-    needed = F.expr(f"n - (n * {short}L + {whole - 1}L) div {whole}L + 1") - (F.col("n") - F.count("*").over(own))
-    placed = met.withColumns({"place": F.row_number().over(own.orderBy("often", "key")), "needed": needed})
-    cost = F.sum(F.when(F.col("place") <= F.col("needed"), F.col("often")).otherwise(0)).over(own)
-    chosen = placed.withColumn("cost", cost).withColumn("probe", F.col("place") <= F.col("needed"))
-    chosen = cut_lineage(chosen.join(sketches, "rep").select("key", "rep", "comp", "n", "cost", "probe", *bits))
-    p, q = chosen.where("probe").alias("p"), chosen.alias("q")
-    cheaper = "p.comp <> q.comp and (p.cost < q.cost or p.cost = q.cost and p.rep < q.rep)"
+    probed = f"place <= have - (n * {short}L + {whole - 1}L) div {whole}L + 1"
+    chosen = cut_lineage(placed.join(sketches, "rep").where(probed).select("key", "rep", "comp", "n", *bits))
+    p, q = chosen.alias("p"), chosen.alias("q")
     differ = " + ".join(f"bit_count(p.{b} ^ q.{b})" for b in bits)
     alike = f"({differ}) * {whole + short}L <= (p.n + q.n) * {whole - short}L"
     sizes = f"least(p.n, q.n) * {whole}L >= greatest(p.n, q.n) * {short}L"
-    found = p.join(q, (F.col("p.key") == F.col("q.key")) & F.expr(f"{cheaper} and {sizes} and {alike}"))
+    apart_pair = f"p.comp <> q.comp and p.rep < q.rep and {sizes} and {alike}"
+    found = p.join(q, (F.col("p.key") == F.col("q.key")) & F.expr(apart_pair))
     pairs = found.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
     return pairs.withColumn("split", F.lit(1).cast("bigint"))
 
