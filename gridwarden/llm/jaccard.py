@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ship, slices, small_or_not, without_ids
+from .common import release, ship, slices, small_or_not, without_ids
 from .components import connected_components
 from .wordhash import mix, word_hashes
 
@@ -264,6 +264,7 @@ def near_groups(
     )
     met = _meetings(sets, class_of)
     del sets, nodes, classes  # nothing refers to the keys any more, so Spark's cleaner can remove them
+    release(docs.sparkSession)
     links = _links(docs, met, width, threshold, key, text)
     roots = connected_components(links)
     found = class_of.join(roots, class_of["rep"] == roots["node"], "left")
@@ -323,6 +324,7 @@ def _links(docs, met, width, threshold, key, text) -> DataFrame:
     split = split.where("lo <> hi and p = 1").select("key")
     apart = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
     rest = _rarest_meetings(texts, cut_lineage(apart), width, threshold)
+    release(docs.sparkSession)
     return cut_lineage(links.union(verified(rest, texts, width, threshold)))
 
 
