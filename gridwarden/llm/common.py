@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
 from collections.abc import Iterator, Sequence
@@ -31,14 +30,6 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(shutil.make_archive(f"{folder}/gridwarden", "zip", top, "gridwarden"))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove shuffle files (and checkpoints, where the session has them cleaned)
-    of frames that nothing refers to any more. It acts only when the driver collects garbage, which
-    a driver with a large heap may not do while a job fills the disks."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
