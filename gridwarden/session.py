@@ -48,20 +48,26 @@ def _local_folder() -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the session's checkpoint folder, so that later jobs neither
-    recompute them nor depend on executors staying alive.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The application's own folder below the one that ``spark.checkpoint.dir`` names.
 
-    A cluster names the folder in ``spark.checkpoint.dir``; queries that write there while they are
-    built fail without it. Only a session whose executors are threads of the driver (``local`` or
-    ``local[n]``) gets a folder of its own.
+    A cluster has to name one; queries that write there while they are built fail without it. Only
+    a session whose executors are threads of the driver (``local`` or ``local[n]``) gets a folder
+    of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("spark.checkpoint.dir must name a shared folder")
             folder = _local_folder()
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the session's checkpoint folder, so that later jobs neither
+    recompute them nor depend on executors staying alive."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
