@@ -5,12 +5,15 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_folder
+
 # A side is broadcast only when its measured rows times this guess of their width stay below it.
 BROADCAST_BYTES = 32 << 20
 
@@ -48,6 +51,27 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))) % divisor
 
 
+class Scratch:
+    """Parquet tables in the checkpoint folder that the session names, for large steps of a job that
+    are read more than once: smaller than a checkpoint's rows, and dropped as soon as the steps that
+    read them are written themselves."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(conf).delete(path, True)
+
+
 def is_small(df: DataFrame, row_bytes: int = 64, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the counted rows fit a broadcast. ``df`` should be written or checkpointed."""
     return df.count() * row_bytes <= limit

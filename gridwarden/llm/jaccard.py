@@ -16,11 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ship, slices, small_or_not, without_ids
+from .common import Scratch, ship, slices, small_or_not, without_ids
 from .components import connected_components
 from .wordhash import mix, word_hashes
 
@@ -29,6 +29,8 @@ NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
 SKETCH = 256  # bits that tell how many elements two sets differ in at least
+BITS = [f"s{i}" for i in range(SKETCH // 64)]
+TALLIES = 1 << 18  # counts by which elements are ordered from rare to frequent, however many there are
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
 PROBE = 1 << 40  # a probe's weight in a key's tally, above any count of rows
@@ -161,19 +163,20 @@ def keys_of(elements: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.
 
 
 def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Threshold) -> DataFrame:
-    """``id, n, d1, d2, index_keys, probe_keys`` per row of ``docs``: the set's size, its digest and
-    its keys. Of equal sets one task emits keys once."""
+    """``id, n, d1, d2, s0.., index_keys, probe_keys`` per row of ``docs``: the set's size, its digest,
+    its sketch and its keys. Of equal sets one task emits keys once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for part in slices(batches, ROUND_ROWS):
-            sizes, low, high, index, probe = [], [], [], [], []
+            sizes, low, high, bits, index, probe = [], [], [], [], [], []
             for i, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 elements = shingles(value, width)
                 digest = hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
                 sizes.append(len(elements))
                 low.append(int.from_bytes(digest[:8], "little", signed=True))
                 high.append(int.from_bytes(digest[8:], "little", signed=True))
+                bits.append(parities(elements))
                 if not len(elements) or i is None or digest in seen:
                     index.append(None)
                     probe.append(None)
@@ -183,28 +186,32 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Thresh
                 a, b = keys_of(elements, threshold)
                 index.append(a.view(np.int64))
                 probe.append(b.view(np.int64))
+            found = np.array(bits, np.int64).reshape(-1, len(BITS))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(low, pa.int64()),
                     pa.array(high, pa.int64()),
+                    *(pa.array(found[:, i]) for i in range(len(BITS))),
                     pa.array(index, pa.list_(pa.int64())),
                     pa.array(probe, pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "d1", "d2", "index_keys", "probe_keys"],
+                names=["id", "n", "d1", "d2", *BITS, "index_keys", "probe_keys"],
             )
 
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    return rows.mapInArrow(
-        run, "id bigint, n bigint, d1 bigint, d2 bigint, index_keys array<bigint>, probe_keys array<bigint>"
-    )
+    numbers = ", ".join(f"{c} bigint" for c in ("id", "n", "d1", "d2", *BITS))
+    return rows.mapInArrow(run, f"{numbers}, index_keys array<bigint>, probe_keys array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshold) -> DataFrame:
     """Of ``a, b, split``, the pairs ``a, b`` that link by their whole texts (``id, t``).
 
-    ``split`` says over how many tasks the pairs of one ``b`` are dealt; its text goes to each."""
+    ``split`` says over how many tasks the pairs of one ``b`` are dealt; its text goes to each.
+    ``pairs`` should be written. Of texts with one id the first counts."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    texts = texts.join(wanted, F.col("id") == F.col("_id"), "left_semi").groupBy("id").agg(F.min("t").alias("t"))
     sides = pairs.groupBy("b").agg(F.max("split").alias("split"))
     right = (
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
@@ -254,18 +261,24 @@ def near_groups(
     """
     ship(docs.sparkSession)
     threshold = threshold or Threshold()
-    sets = cut_lineage(set_rows(docs, key, text, width, threshold))
+    scratch = Scratch(docs.sparkSession)
+    sets = scratch.write(set_rows(docs, key, text, width, threshold), "sets")
     nodes = sets.where("n > 0 and id is not null")
     classes = nodes.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    class_of = cut_lineage(
+    class_of = scratch.write(
         sets.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").select(
             "id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep")
-        )
+        ),
+        "class_of",
     )
-    met = _meetings(sets, class_of)
-    del sets, nodes, classes  # nothing refers to the keys any more, so Spark's cleaner can remove them
-    links = _links(docs, met, width, threshold, key, text)
+    sketches = scratch.write(_sketches(nodes), "sketches")
+    met = _meetings(scratch, sets, class_of)
+    scratch.drop("sets")
+    texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
+    links = _links(scratch, texts, met, sketches, width, threshold)
+    scratch.drop("sketches")
     roots = connected_components(links)
+    scratch.drop("links", "links_apart")
     found = class_of.join(roots, class_of["rep"] == roots["node"], "left")
     kind = docs.schema[key].dataType
     return found.select(
@@ -276,7 +289,22 @@ def near_groups(
     )
 
 
-def _meetings(sets: DataFrame, class_of: DataFrame) -> DataFrame:
+def _sketches(nodes: DataFrame) -> DataFrame:
+    """``id, n, s0..`` once for each id; null where rows of one id have different sets."""
+    same = (F.min("d1") == F.max("d1")) & (F.min("d2") == F.max("d2"))
+    return nodes.groupBy("id").agg(*(F.when(same, F.min(c)).alias(c) for c in ("n", *BITS)))
+
+
+def _may_link(a: str, b: str, threshold: Threshold) -> str:
+    """Whether sizes and sketches of the aliases ``a`` and ``b`` allow a link; true where one is not known."""
+    short, whole = threshold.numerator, threshold.denominator
+    differ = " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in BITS)
+    alike = f"({differ}) * {whole + short}L <= ({a}.n + {b}.n) * {whole - short}L"
+    sizes = f"least({a}.n, {b}.n) * {whole}L >= greatest({a}.n, {b}.n) * {short}L"
+    return f"({a}.n is null or {b}.n is null or ({sizes} and {alike}))"
+
+
+def _meetings(scratch: Scratch, sets: DataFrame, class_of: DataFrame) -> DataFrame:
     """``key, rep, probe, c``: the classes under each key that several share and one probes, and
     how many they are."""
     # Two numbers a row, as these are the most rows: the key, and the id with a last bit for a probe.
@@ -294,36 +322,43 @@ def _meetings(sets: DataFrame, class_of: DataFrame) -> DataFrame:
         .groupBy("key", "rep")
         .agg(F.max("probe").alias("probe"))
     )
-    met = cut_lineage(met)
+    met = scratch.write(met, "met")
     size = met.groupBy("key").agg(F.count("*").alias("c"), F.max("probe").alias("p")).where("c > 1 and p = 1")
-    return cut_lineage(met.join(size.select("key", "c"), "key"))
+    return scratch.write(met.join(size.select("key", "c"), "key"), "met_sized")
 
 
-def _links(docs, met, width, threshold, key, text) -> DataFrame:
+def _links(
+    scratch: Scratch, texts: DataFrame, met: DataFrame, sketches: DataFrame, width: int, threshold: Threshold
+) -> DataFrame:
     weight = met.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("w"))
-    rows = cut_lineage(met.join(weight, "rep").select("key", "rep", "probe", "w"))
-    wanted = cut_lineage(weight.select(F.col("rep").alias("_rep")))
-    texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("t"))
-    texts = texts.join(small_or_not(wanted, 32), F.col("id") == F.col("_rep"), "left_semi")
-    texts = cut_lineage(texts.groupBy("id").agg(F.min("t").alias("t")))
+    rows = scratch.write(met.join(weight, "rep").select("key", "rep", "probe", "w"), "weighed")
+    scratch.drop("met", "met_sized")
     hubs = rows.groupBy("key").agg(F.max(F.struct("w", F.negative("rep").alias("minus"), "probe")).alias("hub"))
     hubs = hubs.select("key", (-F.col("hub.minus")).alias("b"), F.col("hub.w").alias("bw"), F.col("hub.probe").alias("bp"))
     # A hub has then met all of its key, so of the key the others remain.
-    rows = cut_lineage(rows.join(hubs, "key").where("rep <> b"))
+    rows = scratch.write(rows.join(hubs, "key").where("rep <> b"), "others")
+    scratch.drop("weighed")
     pairs = (
         rows.where("probe + bp > 0")
         .groupBy(F.col("rep").alias("a"), "b")
         .agg((F.floor(F.max("bw") / HUB_SPLIT) + 1).alias("split"))
     )
-    links = cut_lineage(verified(pairs, texts, width, threshold))
+    # Sizes and sketches rule most pairs out before any text is read.
+    x, y = sketches.alias("x"), sketches.alias("y")
+    pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
+    pairs = scratch.write(pairs.where(_may_link("x", "y", threshold)).select("a", "b", "split"), "pairs")
+    links = scratch.write(verified(pairs, texts, width, threshold), "links")
     roots = connected_components(links)
     named = rows.select("key", "rep", "probe").join(roots, rows["rep"] == roots["node"], "left")
-    named = cut_lineage(named.select("key", "rep", "probe", F.coalesce("root", "rep").alias("comp")))
+    named = scratch.write(named.select("key", "rep", "probe", F.coalesce("root", "rep").alias("comp")), "named")
     split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("probe").alias("p"))
     split = split.where("lo <> hi and p = 1").select("key")
-    apart = named.join(split, "key", "left_semi").select("rep", "comp").distinct()
-    rest = _rarest_meetings(texts, cut_lineage(apart), width, threshold)
-    return cut_lineage(links.union(verified(rest, texts, width, threshold)))
+    apart = scratch.write(named.join(split, "key", "left_semi").select("rep", "comp").distinct(), "apart")
+    scratch.drop("others", "pairs", "named")
+    rest = scratch.write(_rarest_meetings(scratch, texts, apart, sketches, width, threshold), "pairs_apart")
+    more = scratch.write(verified(rest, texts, width, threshold), "links_apart")
+    scratch.drop("apart", "rarest", "pairs_apart")
+    return links.union(more)
 
 
 def parities(elements: np.ndarray) -> np.ndarray:
@@ -334,59 +369,75 @@ def parities(elements: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(place, minlength=SKETCH).astype(np.uint8) & 1).view(np.int64)
 
 
-def _rarest_meetings(texts: DataFrame, apart: DataFrame, width: int, threshold: Threshold) -> DataFrame:
+def _tallies(read: DataFrame, width: int) -> np.ndarray:
+    """How many elements of the sets of ``read`` (``rep, comp, t``) hash to each of TALLIES counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(TALLIES, np.int64)
+        for part in slices(batches, ROUND_ROWS):
+            elements = np.concatenate([scramble(shingles(t, width)) for t in part.column(2).to_pylist()])
+            found += np.bincount(_tally_of(elements), minlength=TALLIES)
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[some])], names=["tally", "often"])
+
+    sums = read.mapInArrow(run, "tally bigint, often bigint").groupBy("tally").agg(F.sum("often").alias("often"))
+    table = sums.toArrow()  # TALLIES rows at most
+    out = np.zeros(TALLIES, np.int64)
+    out[table["tally"].to_numpy()] = table["often"].to_numpy()
+    return out
+
+
+def _tally_of(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(11)).astype(np.int64) % TALLIES
+
+
+def _rarest_meetings(
+    scratch: Scratch, texts: DataFrame, apart: DataFrame, sketches: DataFrame, width: int, threshold: Threshold
+) -> DataFrame:
     """``a, b, split``: pairs of classes ``rep`` in different components ``comp`` that may link.
 
     The finest partition of the universe has an element in each segment. Of two linked sets either
     lacks at most ``differ`` of the other's elements, so each takes one more than that of its own as
-    keys, allocated by cost: those of one component first, which can find nothing and so are only
-    counted, then those in the fewest sets. As both allocate in the same order, the last key of one
-    of them lies no later than the other's last, and a common element up to there is a key of both.
-    A set that has too few elements in other components is left out. Where sets that are alike but
-    not enough meet all the same, sizes and sketches rule most pairs out before they leave the join.
+    keys, allocated by cost: those in the fewest components first, as far as a fixed number of
+    counts can tell them apart. As both allocate in the same order, the first common element is a
+    key of both, whatever the counts say. Where sets that are alike but not enough meet all the
+    same, sizes and sketches rule most pairs out before they leave the join.
     """
-    bits = [f"s{i}" for i in range(SKETCH // 64)]
-    read = texts.join(apart, texts["id"] == apart["rep"]).select("rep", "comp", "t")
+    # One class stands for its component in the counts: what only its copies share is rare.
+    leads = apart.groupBy("comp").agg(F.min("rep").alias("rep"))
+    often = _tallies(_texts_of(texts, leads), width)
+    short, whole = threshold.numerator, threshold.denominator
 
-    def elements_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, ROUND_ROWS):
-            sets = [scramble(shingles(t, width)) for t in part.column(2).to_pylist()]
-            lengths = np.array([len(x) for x in sets])
+            chosen = []
+            for t in part.column(2).to_pylist():
+                elements = scramble(shingles(t, width))
+                order = np.lexsort((elements, often[_tally_of(elements)]))
+                differ = len(elements) - -(-len(elements) * short // whole)
+                chosen.append(elements[order[: differ + 1]])
+            lengths = np.array([len(x) for x in chosen])
             columns = [np.repeat(part.column(i).to_numpy(), lengths) for i in (0, 1)]
-            keys = np.concatenate(sets).view(np.int64)
+            keys = np.concatenate(chosen).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, *columns)], names=["key", "rep", "comp"])
 
-    def sketches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, ROUND_ROWS):
-            sets = [shingles(t, width) for t in part.column(2).to_pylist()]
-            found = np.array([parities(x) for x in sets]).reshape(-1, len(bits))
-            sizes = pa.array([len(x) for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), sizes, *(pa.array(found[:, i]) for i in range(len(bits)))],
-                names=["rep", "comp", "n", *bits],
-            )
-
-    # The most rows of this step, so they hold no more than a key needs.
-    keyed = read.mapInArrow(elements_of, "key bigint, rep bigint, comp bigint").repartition("key")
-    sketches = read.mapInArrow(sketches_of, ", ".join(f"{c} bigint" for c in ("rep", "comp", "n", *bits)))
-    often = keyed.groupBy("key").agg(F.count("*").alias("often"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    met = keyed.join(often.where("lo <> hi").select("key", "often"), "key").select("key", "rep", "often")
-    own = Window.partitionBy("rep")
-    place = F.row_number().over(own.orderBy("often", "key"))
-    placed = met.withColumns({"place": place, "have": F.count("*").over(own)}).drop("often")
-    short, whole = threshold.numerator, threshold.denominator
-    probed = f"place <= have - (n * {short}L + {whole - 1}L) div {whole}L + 1"
-    chosen = cut_lineage(placed.join(sketches, "rep").where(probed).select("key", "rep", "comp", "n", *bits))
-    p, q = chosen.alias("p"), chosen.alias("q")
-    differ = " + ".join(f"bit_count(p.{b} ^ q.{b})" for b in bits)
-    alike = f"({differ}) * {whole + short}L <= (p.n + q.n) * {whole - short}L"
-    sizes = f"least(p.n, q.n) * {whole}L >= greatest(p.n, q.n) * {short}L"
-    apart_pair = f"p.comp <> q.comp and p.rep < q.rep and {sizes} and {alike}"
-    found = p.join(q, (F.col("p.key") == F.col("q.key")) & F.expr(apart_pair))
+    keyed = _texts_of(texts, apart).mapInArrow(rarest, "key bigint, rep bigint, comp bigint").repartition("key")
+    split = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    # Rows of one id are one class; they still lie together by key, so this takes no further shuffle.
+    met = keyed.join(split, "key", "left_semi").distinct().join(sketches, F.col("rep") == sketches["id"])
+    met = scratch.write(met.select("key", "rep", "comp", "n", *BITS), "rarest")
+    p, q = met.alias("p"), met.alias("q")
+    alike = F.expr(f"p.comp <> q.comp and p.rep < q.rep and {_may_link('p', 'q', threshold)}")
+    found = p.join(q, (F.col("p.key") == F.col("q.key")) & alike)
     pairs = found.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")).distinct()
     return pairs.withColumn("split", F.lit(1).cast("bigint"))
 
 
+def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rep, comp, t`` of the rows whose id is one of the written ``classes``."""
+    return texts.join(small_or_not(classes, 32), F.col("id") == F.col("rep")).select("rep", "comp", "t")
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id. Of repeated rows with
     that id one stays (the first by text); rows without id, or without words, all stay."""
