@@ -210,7 +210,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshol
 
     ``split`` says over how many tasks the pairs of one ``b`` are dealt; its text goes to each.
     ``pairs`` should be written. Of texts with one id the first counts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+    wanted = small_or_not(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), 32)
     texts = texts.join(wanted, F.col("id") == F.col("_id"), "left_semi").groupBy("id").agg(F.min("t").alias("t"))
     sides = pairs.groupBy("b").agg(F.max("split").alias("split"))
     right = (
