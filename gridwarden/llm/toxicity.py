@@ -28,7 +28,7 @@ DISCOUNT = 0.75
 BUCKETS = 1 << 20
 PIECE_BYTES = 48
 CALIBRATION_ROWS = 20_000
-CALIBRATION_SHARE = 5  # one labelled document in so many calibrates instead of being counted
+CALIBRATION_SHARE = 5  # at most one labelled document in so many calibrates instead of being counted
 THRESHOLD = 0.3
 CACHED_WORDS = 300_000
 
@@ -258,9 +258,8 @@ def toxicity_model(
     label: str = "toxic",
     calibration_rows: int = CALIBRATION_ROWS,
 ) -> Model:
-    """Counts over all labelled texts but one in five; of those, at most ``calibration_rows`` (the
-    first by hash) turn the features into a probability. ``labels`` should be without what is held
-    out. Null ids and labels are left out; an id with several labels counts once, with the largest.
+    """Counts over all labelled texts but those that turn the features into a probability: of one
+    in five, the first ``calibration_rows`` by hash. ``labels`` should be without what is held out. Null ids and labels are left out; an id with several labels counts once, with the largest.
     Without labels, or with one class only, the score is constant."""
     ship(docs.sparkSession)
     known = (
@@ -270,10 +269,11 @@ def toxicity_model(
         .agg(F.least(F.max("y"), F.lit(1)).alias("y"))
     )
     texts = docs.select(F.col(f"`{key}`").alias("_id2"), F.col(f"`{text}`").alias("t"))
-    known = small_or_not(cut_lineage(known), 32)
-    labelled = texts.join(known, texts["_id2"] == known["_id"]).select("_id", "t", "y")
+    known = cut_lineage(known)
     held = F.pmod(F.xxhash64("_id", F.lit("calibration")), F.lit(CALIBRATION_SHARE)) == 0
-    counted = word_counts(labelled.where(~held))
+    first = cut_lineage(known.where(held).orderBy(F.xxhash64("_id"), "_id").limit(calibration_rows))
+    others = small_or_not(cut_lineage(known.join(F.broadcast(first.select("_id")), "_id", "left_anti")), 32)
+    counted = word_counts(texts.join(others, texts["_id2"] == others["_id"]).select("t", "y"))
     model = tables(cut_lineage(gram_counts(counted)))
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(model)
@@ -284,7 +284,6 @@ def toxicity_model(
             f = scorer.features(batch["t"].tolist())
             yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "c": f[:, 2], "y": batch["y"]})
 
-    first = known.where(held).orderBy(F.xxhash64("_id"), "_id").limit(calibration_rows)
     chosen = texts.join(F.broadcast(first), texts["_id2"] == first["_id"]).select("t", "y")
     rows = chosen.mapInPandas(run, "a double, b double, c double, y int").toPandas()  # bounded above
     if rows["y"].nunique() < 2:

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridwarden.llm import chat, contamination, jaccard, mixing, quality, queries, toxicity
 from gridwarden.llm.components import connected_components
@@ -283,6 +284,25 @@ def test_toxicity(spark, make_docs, odd_rows, sample_dir):
     assert {r["score"] for r in toxicity.toxicity_scores(docs, none).collect()} == {0.5}
 
 
+def test_toxicity_counts_what_does_not_calibrate(spark, make_docs):
+    """An expression that stands only in the fifth that may calibrate, beyond the rows that do."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randrange(2, 9))) for _ in range(200)]
+    fifth = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(5)) == 0
+    order = [r[0] for r in spark.range(900).where(fifth).orderBy(F.xxhash64("id"), "id").collect()]
+    beyond = set(order[40:])
+    rows = []
+    for i in range(900):
+        text = [rng.choice(words) for _ in range(30)]
+        rows.append((i, " ".join([*text, "qqwaxq" if i in beyond else "grob"] if i % 3 == 0 else text), "s"))
+    tests = [(1000, "qqwaxq", "s"), (1001, " ".join(words[:20]), "s")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(900)], "doc_id long, toxic int")
+    docs = make_docs([*rows, *tests])
+    model = toxicity.toxicity_model(docs, labels, calibration_rows=40)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.toxicity_scores(docs, model).collect()}
+    assert scores[1000] > 0.5 > 0.3 > scores[1001]
+
+
 def test_kneser_ney_sums_to_one():
     """All continuations of a context, over a bucketless vocabulary, share one unit of probability."""
     found = ["abab", "abba", "baab"]
