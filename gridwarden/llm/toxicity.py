@@ -11,6 +11,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pandas as pd
@@ -25,12 +26,13 @@ from .wordhash import mix
 ORDER = 5
 SHORT = 2  # bytes of context that the shared model keeps
 DISCOUNT = 0.75
-BUCKETS = 1 << 20
 PIECE_BYTES = 48
 CALIBRATION_ROWS = 20_000
 CALIBRATION_SHARE = 5  # at most one labelled document in so many calibrates instead of being counted
 THRESHOLD = 0.3
 CACHED_WORDS = 300_000
+BLOCK_WORDS = 50_000
+SCALES = (1.0, 10.0, 10.0)
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -38,7 +40,7 @@ WORD = re.compile(r"[^\W\d_]+")
 def words(text: str | None) -> list[str]:
     """Runs of letters, lower case; a run of over PIECE_BYTES letters is cut into such pieces."""
     found = WORD.findall(text.lower()) if text else []
-    if any(len(w) > PIECE_BYTES for w in found):
+    if max(map(len, found), default=0) > PIECE_BYTES:
         found = [w[i : i + PIECE_BYTES] for w in found for i in range(0, len(w), PIECE_BYTES)]
     return found
 
@@ -83,71 +85,135 @@ def grams(found: list[str]) -> Grams:
 
 @dataclass
 class Model:
-    """Bounded tables: whatever the corpus, at most BUCKETS counts of each kind."""
-
-    full: np.ndarray  # class, bucket of gram
-    total: np.ndarray  # class, bucket of context
-    kinds: np.ndarray  # class, bucket of context: distinct grams
-    short: np.ndarray  # bucket of short gram: distinct full grams that end in it
-    short_total: np.ndarray
-    short_kinds: np.ndarray
-    single: np.ndarray  # byte
+    """Exact counts, written once, with one row per key; whatever their number, none come to the driver."""
+
+    full: DataFrame  # full; n0, n1: counts by class
+    context: DataFrame  # context; t0, t1: counts, k0, k1: distinct grams, by class
+    short: DataFrame  # short; s: distinct full grams that end in it
+    short_context: DataFrame  # short_context; st: as s, sk: distinct bytes (keys of two bytes: under 2^17)
+    single: list[float]  # by byte: distinct short contexts before it
     weights: np.ndarray | None = None
 
-    def word_ratios(self, found: list[str]) -> np.ndarray:
-        """Log-likelihood of each word as a toxic text's word, less that as an ordinary one's."""
-        if not found:
-            return np.zeros(0)
-        g = grams(found)
-        b = lambda h: (h % np.uint64(BUCKETS)).astype(np.int64)
-        single = (self.single[g.byte.astype(np.int64)] + 1) / (self.single.sum() + 258)
-        sc = b(mix(g.short_context))
-        rest = np.maximum(self.short_total[sc], 1)
-        lower = np.where(
-            self.short_total[sc] > 0,
-            (np.maximum(self.short[b(g.short)] - DISCOUNT, 0) + DISCOUNT * self.short_kinds[sc] * single) / rest,
-            single,
+    def gram_ratios(self, found: DataFrame) -> DataFrame:
+        """``full, ratio`` of distinct grams: log-likelihood of its byte after its context in toxic
+        texts, less that in ordinary ones."""
+        every = sum(self.single) + 258
+        single = F.get(F.lit([(n + 1) / every for n in self.single]), F.col("byte"))
+        count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("double")
+        above = lambda c: F.greatest(count(c) - DISCOUNT, F.lit(0.0))
+        lower = F.when(count("st") > 0, (above("s") + DISCOUNT * count("sk") * F.col("one")) / count("st"))
+        p = [
+            F.when(count(f"t{c}") > 0, (above(f"n{c}") + DISCOUNT * count(f"k{c}") * F.col("lower")) / count(f"t{c}"))
+            for c in (0, 1)
+        ]
+        logs = [F.log(F.greatest(F.coalesce(x, F.col("lower")), F.lit(1e-12))) for x in p]
+        rows = (
+            found.select("full", "context", "short", "short_context", "byte")
+            .join(self.full, "full", "left")
+            .join(self.context, "context", "left")
+            .join(self.short, "short", "left")
+            .join(F.broadcast(self.short_context), "short_context", "left")
         )
-        logs = []
-        for c in (0, 1):
-            total = self.total[c][b(g.context)]
-            p = (
-                np.maximum(self.full[c][b(g.full)] - DISCOUNT, 0) + DISCOUNT * self.kinds[c][b(g.context)] * lower
-            ) / np.maximum(total, 1)
-            logs.append(np.log(np.maximum(np.where(total > 0, p, lower), 1e-12)))
-        return np.bincount(g.word, logs[1] - logs[0], len(found))
-
-
-class Scorer:
-    """Features of texts under a model, with the ratios of frequent words kept."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.known: dict[str, float] = {}
-
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """For each text: its log-likelihood ratio over its letters, the largest ratio of a word, and
-        the ratios of such words added up over the root of the length (0 each without words)."""
-        split = [words(t) for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        new = list(set().union(*split) - self.known.keys()) if split else []
-        self.known.update(zip(new, self.model.word_ratios(new).tolist(), strict=True))
-        out = np.zeros((len(texts), 3))
-        for i, found in enumerate(split):
-            if found:
-                ratios = np.fromiter(map(self.known.__getitem__, found), float, len(found))
-                size = sum(map(len, found)) + len(found)
-                top = np.sort(ratios)[-3:]
-                out[i] = ratios.sum() / size, top[-1], top.mean()
-        return out
+        rows = rows.withColumn("one", single).withColumn("lower", F.coalesce(lower, F.col("one")))
+        return rows.select("full", (logs[1] - logs[0]).alias("ratio"))
+
+
+def word_ratios(vocabulary: DataFrame, model: Model) -> DataFrame:
+    """``word, n, ratio`` from ``word, n`` (distinct words, checkpointed): the ratios of each word's
+    grams added up. Words go by blocks, and a block gets each of its grams' ratios once, so the gram
+    that most words share is no larger a key than others."""
+    size = vocabulary.count()
+    blocks = max(size // BLOCK_WORDS, min(size // 1000, 1000)) + 1
+    placed = vocabulary.withColumn("block", F.pmod(F.xxhash64("word"), F.lit(blocks)))
+
+    def needed(rows: pd.DataFrame) -> pd.DataFrame:
+        full = np.unique(grams(rows["word"].tolist()).full.view(np.int64))
+        return pd.DataFrame({"block": rows["block"].iloc[0], "full": full})
+
+    def added(rows: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        g = grams(rows["word"].tolist())
+        known = given.sort_values("full")
+        each = known["ratio"].to_numpy()[np.searchsorted(known["full"].to_numpy(), g.full.view(np.int64))]
+        return pd.DataFrame({"word": rows["word"], "n": rows["n"], "ratio": np.bincount(g.word, each, len(rows))})
+
+    found = gram_counts(vocabulary.select("word", F.col("n").alias("toxic"), F.lit(0).cast("bigint").alias("ordinary")))
+    wanted = placed.select("word", "block").groupBy("block").applyInPandas(needed, "block bigint, full bigint")
+    given = wanted.join(model.gram_ratios(found), "full").select("block", "full", "ratio")
+    both = placed.groupBy("block").cogroup(given.groupBy("block"))
+    return both.applyInPandas(added, "word string, n bigint, ratio double")
+
+
+def features(docs: DataFrame, model: Model, key: str, text: str, driver_words: int = CACHED_WORDS) -> DataFrame:
+    """``k, a, b, c`` for each row of ``docs``: its log-likelihood ratio over its letters, the largest
+    ratio of a word, and the mean of the three largest (0 each without words).
+
+    The ratios of the most frequent words, at most ``driver_words`` of them, go to all tasks; other
+    words leave their texts, meet their ratios in a join, and are added up by text again.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
+    counted = word_counts(rows.select("t", F.lit(0).alias("y")))
+    vocabulary = cut_lineage(counted.select("word", F.col("ordinary").alias("n")))
+    ratios = cut_lineage(word_ratios(vocabulary, model))
+    level = F.floor(F.log2("n")).cast("int").alias("level")
+    levels = sorted(((r["level"], r["count"]) for r in ratios.groupBy(level).count().collect()), reverse=True)
+    least, kept = 1 << 62, 0  # words as frequent as this are kept
+    for exponent, count in levels:
+        kept += count
+        if kept > driver_words:
+            break
+        least = 1 << exponent
+    frequent = ratios.where(F.col("n") >= least).select("word", "ratio").toArrow()  # bounded above
+    shared = spark.sparkContext.broadcast((frequent["word"].to_pylist(), frequent["ratio"].to_pylist()))
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-design(self.features(texts)) @ self.model.weights))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = dict(zip(*shared.value, strict=True))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sums, sizes, tops, rest = [], [], [], []
+                for t in part.column(1).to_pylist():
+                    found = words(t)
+                    every = list(map(known.get, found))
+                    here = [r for r in every if r is not None] if None in every else every
+                    rest.append([w for w, r in zip(found, every, strict=True) if r is None] if here is not every else [])
+                    sums.append(sum(here))
+                    sizes.append(sum(map(len, found)) + len(found))
+                    tops.append(nlargest(3, here))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(sums, pa.float64()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(tops, pa.list_(pa.float64())),
+                        pa.array(rest, pa.list_(pa.string())),
+                    ],
+                    names=["k", "total", "size", "top", "rest"],
+                )
+
+    kind = rows.schema["k"].dataType.simpleString()
+    out = rows.mapInArrow(run, f"k {kind}, total double, size bigint, top array<double>, rest array<string>")
+    if any(1 << exponent < least for exponent, _ in levels):
+        out = cut_lineage(out).withColumn("row", F.monotonically_increasing_id())
+        apart = out.where(F.size("rest") > 0).select("row", F.explode("rest").alias("word"))
+        others = apart.join(ratios.where(F.col("n") < least).select("word", "ratio"), "word")
+        others = others.groupBy("row").agg(F.sum("ratio").alias("more"), F.collect_list("ratio").alias("found"))
+        top = F.slice(F.sort_array(F.concat("top", "found"), asc=False), 1, 3)
+        joined = out.where(F.size("rest") > 0).join(others, "row").select("k", F.expr("total + more"), "size", top)
+        whole = out.where(F.size("rest") == 0).select("k", "total", "size", "top")
+        out = whole.unionAll(joined.toDF("k", "total", "size", "top"))
+    mean = F.aggregate("top", F.lit(0.0), lambda x, y: x + y) / F.size("top")
+    some = F.col("size") > 0
+    return out.select(
+        "k",
+        F.when(some, F.col("total") / F.col("size")).otherwise(0.0).alias("a"),
+        F.when(some, F.array_max("top")).otherwise(0.0).alias("b"),
+        F.when(some, mean).otherwise(0.0).alias("c"),
+    )
 
 
 def design(features: np.ndarray) -> np.ndarray:
-    x = np.clip(features / (1.0, 10.0, 10.0), -5, 5)
+    x = np.clip(features / SCALES, -5, 5)
     return np.column_stack([np.ones(len(x)), x])
 
 
@@ -221,32 +287,19 @@ def gram_counts(counted: DataFrame) -> DataFrame:
 
 
 def tables(found: DataFrame) -> Model:
-    """The model's tables. What comes to the driver is one row per bucket, so it is bounded."""
-
-    def by(column: str, *values) -> pa.Table:
-        bucket = F.expr(f"cast(pmod(`{column}`, {BUCKETS}L) as int)").alias("bucket")
-        # pmod of the signed number and the unsigned remainder agree for a power of two.
-        return found.groupBy(bucket).agg(*values).toArrow()
-
-    def spread(rows: pa.Table, column: str, size: int = BUCKETS) -> np.ndarray:
-        out = np.zeros(size, np.float32)
-        out[rows["bucket"].to_numpy()] = rows[column].to_numpy()
-        return out
-
-    sums = [F.sum("ordinary").alias("n0"), F.sum("toxic").alias("n1")]
+    """The model's tables of exact keys, from checkpointed counts. One row per byte comes to the driver."""
+    sums = lambda a, b: [F.sum("ordinary").alias(a), F.sum("toxic").alias(b)]
     seen = [F.count_if(F.col("ordinary") > 0).alias("k0"), F.count_if(F.col("toxic") > 0).alias("k1")]
-    full, context = by("full", *sums), by("context", *sums, *seen)
-    short = by("short", F.count("*").alias("n"))
-    short_context = by("short_context", F.count("*").alias("n"), F.count_distinct("byte").alias("k"))
-    single = found.groupBy(F.col("byte").alias("bucket")).agg(F.count_distinct("short_context").alias("n")).toArrow()
+    short_context = found.groupBy("short_context").agg(F.count("*").alias("st"), F.count_distinct("byte").alias("sk"))
+    single = [0.0] * 258
+    for r in found.groupBy("byte").agg(F.count_distinct("short_context").alias("n")).collect():
+        single[r["byte"]] = float(r["n"])
     return Model(
-        np.stack([spread(full, "n0"), spread(full, "n1")]),
-        np.stack([spread(context, "n0"), spread(context, "n1")]),
-        np.stack([spread(context, "k0"), spread(context, "k1")]),
-        spread(short, "n"),
-        spread(short_context, "n"),
-        spread(short_context, "k"),
-        spread(single, "n", 258),
+        found.groupBy("full").agg(*sums("n0", "n1")),
+        found.groupBy("context").agg(*sums("t0", "t1"), *seen),
+        found.groupBy("short").agg(F.count("*").alias("s")),
+        cut_lineage(short_context),
+        single,
     )
 
 
@@ -275,17 +328,8 @@ def toxicity_model(
     others = small_or_not(cut_lineage(known.join(F.broadcast(first.select("_id")), "_id", "left_anti")), 32)
     counted = word_counts(texts.join(others, texts["_id2"] == others["_id"]).select("t", "y"))
     model = tables(cut_lineage(gram_counts(counted)))
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            f = scorer.features(batch["t"].tolist())
-            yield pd.DataFrame({"a": f[:, 0], "b": f[:, 1], "c": f[:, 2], "y": batch["y"]})
-
     chosen = texts.join(F.broadcast(first), texts["_id2"] == first["_id"]).select("t", "y")
-    rows = chosen.mapInPandas(run, "a double, b double, c double, y int").toPandas()  # bounded above
+    rows = features(chosen, model, "y", "t").withColumnRenamed("k", "y").toPandas()  # bounded above
     if rows["y"].nunique() < 2:
         share = (rows["y"].sum() + 1) / (len(rows) + 2)
         model.weights = np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0])
@@ -294,19 +338,15 @@ def toxicity_model(
     return model
 
 
-def toxicity_scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, score`` of every whole text. Null and empty texts are scored as texts without words."""
+def toxicity_scores(
+    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", driver_words: int = CACHED_WORDS
+) -> DataFrame:
+    """``key, score`` of every whole text. Null and empty texts are scored as texts without words.
+    The words of all texts are counted and given their ratios at once."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                scores = scorer.score(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["k", "score"])
-
-    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
-    return rows.mapInArrow(run, f"k {kind}, score double").withColumnRenamed("k", key)
+    columns = zip(("a", "b", "c"), SCALES, model.weights[1:].tolist(), strict=True)
+    z = F.lit(float(model.weights[0]))
+    for name, scale, weight in columns:
+        z = z + weight * F.least(F.greatest(F.col(name) / scale, F.lit(-5.0)), F.lit(5.0))
+    rows = features(docs, model, key, text, driver_words)
+    return rows.select(F.col("k").alias(key), (1 / (1 + F.exp(-z))).alias("score"))

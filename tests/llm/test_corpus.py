@@ -303,6 +303,60 @@ def test_toxicity_counts_what_does_not_calibrate(spark, make_docs):
     assert scores[1000] > 0.5 > 0.3 > scores[1001]
 
 
+def plain_ratios(counted, asked):
+    """Ratios of words by the definition, with plain dictionaries; ``counted`` has word: (ordinary, toxic)."""
+    rows = Counter(), Counter()
+    cells = lambda w: [0] * 4 + [x + 1 for x in w.encode()] + [257]
+    for w, n in counted.items():
+        for i in range(4, len(cells(w))):
+            for c in (0, 1):
+                rows[c][tuple(cells(w)[i - 4 : i + 1])] += n[c]
+    kinds = set(rows[0]) | set(rows[1])
+    short, single = Counter(g[2:] for g in kinds), Counter(g[-1] for g in {g[2:] for g in kinds})
+    st, sk = Counter(g[2:4] for g in kinds), Counter(g[:2] for g in {g[2:] for g in kinds})
+    total = [Counter(), Counter()]
+    distinct = [Counter(g[:4] for g in r if r[g]) for r in rows]
+    for c in (0, 1):
+        for g, n in rows[c].items():
+            total[c][g[:4]] += n
+    out = {}
+    for w in asked:
+        out[w] = 0.0
+        for i in range(4, len(cells(w))):
+            g = tuple(cells(w)[i - 4 : i + 1])
+            one = (single[g[-1]] + 1) / (sum(single.values()) + 258)
+            lower = (max(short[g[2:]] - 0.75, 0) + 0.75 * sk[g[2:4]] * one) / st[g[2:4]] if st[g[2:4]] else one
+            for c, sign in ((0, -1), (1, 1)):
+                t = total[c][g[:4]]
+                p = (max(rows[c][g] - 0.75, 0) + 0.75 * distinct[c][g[:4]] * lower) / t if t else lower
+                out[w] += sign * np.log(max(p, 1e-12))
+    return out
+
+
+def test_toxicity_ratios_are_exact(spark, make_docs):
+    """More distinct grams than a fixed table would tell apart; words that go by join score the same."""
+    rng = random.Random(7)
+    word = lambda: "".join(chr(rng.choice([97, 0x3B1, 0x430, 0x4E00]) + rng.randrange(20)) for _ in range(8))
+    counted = {word(): (rng.randrange(4), rng.randrange(1, 3)) for _ in range(20_000)}
+    schema = "word string, ordinary bigint, toxic bigint"
+    toxicity.ship(spark)
+    frame = spark.createDataFrame([(w, *n) for w, n in counted.items()], schema)
+    model = toxicity.tables(toxicity.cut_lineage(toxicity.gram_counts(frame)))
+    asked = [*rng.sample(sorted(counted), 200), *(word() for _ in range(200)), "", "x"]
+    expected = plain_ratios(counted, asked)
+    vocabulary = spark.createDataFrame([(w, 1) for w in asked], "word string, n bigint")
+    got = {r["word"]: r["ratio"] for r in toxicity.word_ratios(vocabulary, model).collect()}
+    assert got.keys() == expected.keys() and all(abs(got[w] - expected[w]) < 1e-9 for w in asked)
+    model.weights = np.array([0.1, 0.7, 0.2, -0.3])
+    texts = [" ".join(rng.choices(asked, k=rng.randrange(12))) for _ in range(60)]
+    docs = make_docs([(i % 50, t, "s") for i, t in enumerate([*texts, None])])
+    scores = [sorted(map(tuple, toxicity.toxicity_scores(docs, model, driver_words=n).collect())) for n in (0, 100, 10**6)]
+    for other in scores[1:]:
+        assert [k for k, _ in other] == [k for k, _ in scores[0]]
+        assert np.allclose([x for _, x in other], [x for _, x in scores[0]], atol=1e-12)
+    assert len(scores[0]) == 61
+
+
 def test_kneser_ney_sums_to_one():
     """All continuations of a context, over a bucketless vocabulary, share one unit of probability."""
     found = ["abab", "abba", "baab"]
