@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from .common import ship
 
 THRESHOLD = 0.8
 WORD = re.compile(r"[^\W_]+")
+MARKS = re.compile(r"[^\w\s]*")  # that end a sentence or a quotation
 
 # Common licence statements and short licences, as published.
 TEMPLATES = {
@@ -106,71 +108,97 @@ class Match:
 
 
 class Templates:
-    """Templates by bigram, with the sizes of text that can reach the threshold against each.
+    """Templates by bigram, with the counts that a text needs to reach the threshold against each.
 
-    2 * common / (a + b) is at most 2 * min(a, b) / (a + b), so a text of ``a`` distinct bigrams
-    needs a template of ``a * t / (2 - t)`` to ``a * (2 - t) / t``.
+    A window of words with ``c`` distinct bigrams of a template of ``s`` and ``u`` others scores
+    2c / (c + u + s), so it needs c of s * t / (2 - t) at least and u of 2s * (1 - t) / t at most.
     """
 
     def __init__(self, texts: Mapping[str, str], threshold: float):
-        sets = {name: set(bigrams(normalised(t))) for name, t in texts.items()}
+        self.sets = {name: words for name, t in texts.items() if (words := set(bigrams(normalised(t))))}
         self.threshold = threshold
-        self.sizes = {name: len(s) for name, s in sets.items() if s}
         self.holders: dict[tuple[str, str], list[str]] = {}
-        for name in self.sizes:
-            for b in sets[name]:
+        for name, words in self.sets.items():
+            for b in words:
                 self.holders.setdefault(b, []).append(name)
         slack = 1e-9  # a size right at a bound is within it, however the quotient was rounded
-        self.bound = {
-            n: (s * threshold / (2 - threshold) - slack, s * (2 - threshold) / threshold + slack)
-            for n, s in self.sizes.items()
-        }
-        self.most = max((high for _, high in self.bound.values()), default=0)
-
-    def best_run(self, lines: list[tuple[list[str], int, int]], first: int) -> Match | None:
-        """The best match of a run of whole lines from ``first`` on. The run grows until it has
-        more distinct bigrams than any template allows."""
-        seen: set[tuple[str, str]] = set()
-        common: Counter[str] = Counter()
-        best, before = None, None
-        for words, start, end in lines[first:]:
-            if start < 0 or not words:
-                continue
-            if len(seen) + len(words) > 4 * self.most + 4 and len(set(bigrams(words)) - seen) + len(seen) > self.most:
-                break
-            joined = words if before is None else [before, *words]
-            for b in bigrams(joined) if len(joined) > 1 else []:
-                if b not in seen:
-                    seen.add(b)
-                    common.update(self.holders.get(b, ()))
-            before = words[-1]
-            if len(seen) > self.most:
-                break
-            for name, shared in common.items():
-                low, high = self.bound[name]
-                if low <= len(seen) <= high:
-                    dice = 2 * shared / (len(seen) + self.sizes[name])
-                    if dice >= self.threshold - 1e-12 and (best is None or (dice, -end) > (best.dice, -best.end)):
-                        best = Match(name, dice, lines[first][1], end)
-        return best
+        self.least = {n: len(s) * threshold / (2 - threshold) - slack for n, s in self.sets.items()}
+        self.others = {n: 2 * len(s) * (1 - threshold) / threshold + slack for n, s in self.sets.items()}
 
-    def find(self, text: str) -> list[Match]:
-        """The matches of a text, not overlapping: the best first, then in order of place."""
-        lines, at = [], 0
-        for line in text.split("\n"):
-            lines.append((normalised(line), at, at + len(line)))
-            at += len(line) + 1
+    def windows(self, pairs: list[tuple[str, str]], name: str) -> list[tuple[int, float, int, int]]:
+        """``common, dice, first, last`` (places of bigrams) of the best window from each place, not
+        overlapping, the most alike first.
+
+        A window that starts or ends with another bigram than the template's, or holds its first or
+        last one twice, scores no more than a shorter one, so only the others are looked at.
+        """
+        members, least, others = self.sets[name], self.least[name], self.others[name]
         found = []
-        for i, (words, _, _) in enumerate(lines):
-            if words and any(b in self.holders for b in bigrams(words)):
-                match = self.best_run(lines, i)
-                if match is not None:
-                    found.append(match)
-        kept: list[Match] = []
-        for m in sorted(found, key=lambda m: (-m.dice, m.start, m.license)):
-            if all(m.end <= k.start or k.end <= m.start for k in kept):
-                kept.append(m)
-        return sorted(kept, key=lambda m: m.start)
+        for first in [i for i, b in enumerate(pairs) if b in members]:
+            seen: set[tuple[str, str]] = set()
+            common, best = 0, None
+            for last in range(first, len(pairs)):
+                b = pairs[last]
+                if b in seen:
+                    if b == pairs[first]:
+                        break
+                    continue
+                seen.add(b)
+                if b in members:
+                    common += 1
+                    dice = 2 * common / (len(seen) + len(members))
+                    if common >= least and dice >= self.threshold - 1e-12 and (best is None or dice > best[1]):
+                        best = (common, dice, first, last)
+                elif len(seen) - common > others:
+                    break
+            if best is not None:
+                found.append(best)
+        return apart(sorted(found, key=lambda m: (-m[1], m[2])))
+
+    def find(self, text: str) -> list[Match]:
+        """The matches of a text, not overlapping, in order of place. Of overlapping ones that with the
+        most of its template stays, so a whole text stays before a statement inside it. A match is
+        widened to the whole lines it stands in where they reach the threshold too."""
+        present = self.holders.keys() & set(bigrams(normalised(text)))
+        held = Counter(name for b in present for name in self.holders[b])
+        likely = [name for name, n in held.items() if n >= self.least[name]]
+        if not likely:
+            return []
+        places = [(w, m.start(), m.end()) for m in WORD.finditer(text) for w in normalised(m.group())]
+        pairs = bigrams([w for w, _, _ in places]) if len(places) > 1 else []
+        found = [(*m, name) for name in likely for m in self.windows(pairs, name)]
+        kept = apart(sorted(found, key=lambda m: (-m[0], -m[1], m[2], m[4])))
+        kept.sort(key=lambda m: m[2])
+        out: list[Match] = []
+        lines: dict[tuple[int, int], set[tuple[str, str]]] = {}
+        for i, (_, dice, first, last, name) in enumerate(kept):
+            start, end = places[first][1], places[last + 1][2]
+            before, after = text.rfind("\n", 0, start) + 1, text.find("\n", end)
+            after = len(text) if after < 0 else after
+            free = (not out or out[-1].end <= before) and (i + 1 == len(kept) or after <= places[kept[i + 1][2]][1])
+            if (before, after) not in lines:
+                lines[before, after] = set(bigrams(normalised(text[before:after])))
+            whole = self.dice(lines[before, after], name) if free else 0.0
+            if whole >= self.threshold - 1e-12:
+                out.append(Match(name, whole, before, after))
+            else:
+                out.append(Match(name, dice, start, MARKS.match(text, end).end()))
+        return out
+
+    def dice(self, words: set[tuple[str, str]], name: str) -> float:
+        return 2 * len(words & self.sets[name]) / (len(words) + len(self.sets[name]))
+
+
+def apart(found: list[tuple]) -> list[tuple]:
+    """Those of ``..., first, last, ...`` at places 2 and 3 that share no word with one before them."""
+    kept: list[tuple] = []
+    ends: list[tuple[int, int]] = []  # of those kept, in order of place
+    for m in found:
+        at = bisect_left(ends, (m[2], m[3]))
+        if (at == 0 or ends[at - 1][1] + 1 < m[2]) and (at == len(ends) or m[3] + 1 < ends[at][0]):
+            ends.insert(at, (m[2], m[3]))
+            kept.append(m)
+    return kept
 
 
 def license_scan(
@@ -182,8 +210,8 @@ def license_scan(
 ) -> DataFrame:
     """``doc_id, n_matches, license, dice, matches`` for every row of ``docs``.
 
-    Compared are all runs of whole lines, normalised, against each template whose size allows the
-    threshold; ``matches`` has ``license, dice, start, end`` (code points) of those kept, which
+    Compared are all windows of words, whatever lines they stand in, against each template;
+    ``matches`` has ``license, dice, start, end`` (code points) of those kept, which
     don't overlap. ``license`` and ``dice`` are the best match's (of equal ones the first), null and
     0 without one. Null and empty texts match nothing; repeated rows and null ids each give a row;
     other columns are ignored. ``templates`` is a short list that the caller passes.

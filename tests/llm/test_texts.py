@@ -164,3 +164,32 @@ def test_license_lines_against_all_templates():
             best = max(dice(line, t) for t in licenses.TEMPLATES.values())
             found = known.find(line)
             assert (len(found) == 1 and abs(found[0].dice - best) < 1e-9) if best >= 0.8 - 1e-12 else not found, name
+
+
+def test_licenses_inside_lines():
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    statement = "Licensed under the Apache License, Version 2.0."
+    text = f"Copyright (c) 2020 Example Corp. {statement} İ other words of the page"
+    (match,) = known.find(text)
+    assert (match.license, match.dice, text[match.start : match.end]) == ("Apache-2.0 statement", 1.0, statement)
+    rng = random.Random(6)
+    prose = lambda n: " ".join(rng.choice(["of", "the", "in", "software", "any", "cat", "tree"]) for _ in range(n))
+    flat = f"{prose(900)} {licenses.TEMPLATES['MIT']} {prose(300)} {licenses.TEMPLATES['Zlib']} {prose(200)}"
+    assert [m.license for m in known.find(flat)] == ["MIT", "Zlib"]
+
+
+def test_license_windows_against_all_windows():
+    """Brute force over all windows of words of edited statements in prose, repeated words included."""
+    rng = random.Random(9)
+    for _ in range(150):
+        name, template = rng.choice([(n, t) for n, t in licenses.TEMPLATES.items() if "statement" in n])
+        target = licenses.normalised(template)
+        body = [w for w in target * rng.randrange(1, 3) if rng.random() > 0.07]
+        text = [rng.choice(["page", "the", *target]) for _ in range(rng.randrange(8))] + body + ["under", "the", "tree"]
+        text += [f"page{i}" for i in range(20)]  # so that the line as a whole is no match
+        if rng.random() < 0.3:
+            text.insert(rng.randrange(len(text)), "word")
+        best = max(dice(" ".join(text[i:j]), template) for i in range(len(text)) for j in range(i + 2, len(text) + 1))
+        found = licenses.Templates({name: template}, 0.8).find(" ".join(text))
+        assert max((m.dice for m in found), default=0) == pytest.approx(best if best >= 0.8 - 1e-12 else 0), text
+        assert all(a.end <= b.start for a, b in zip(found, found[1:], strict=False))
