@@ -193,3 +193,10 @@ def test_license_windows_against_all_windows():
         found = licenses.Templates({name: template}, 0.8).find(" ".join(text))
         assert max((m.dice for m in found), default=0) == pytest.approx(best if best >= 0.8 - 1e-12 else 0), text
         assert all(a.end <= b.start for a, b in zip(found, found[1:], strict=False))
+
+
+def test_each_license_is_reported_as_itself():
+    known = licenses.Templates(licenses.TEMPLATES, 0.8)
+    assert {"BSD-3-Clause", "LGPL notice", "AGPL notice", "MPL-2.0 notice", "Unlicense"} <= licenses.TEMPLATES.keys()
+    for name, text in licenses.TEMPLATES.items():
+        assert [m.license for m in known.find(f"Copyright 2020 Example Corp. {text} And other words.")] == [name]
