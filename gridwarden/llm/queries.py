@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, exact, jaccard, licenses, mixing, packing, quality, tokens, toxicity
+from . import (
+    bpe, chat, contamination, exact, jaccard, licenses, mixing, packing, prefixes, quality, spelling, tokens, toxicity,
+)
 from .common import remainder, table
 
 THRESHOLD = 0.3
@@ -87,9 +89,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), every=97, least_length=5, least_count=3)
+    return spelling.spelling_variants(words)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _tokenizer("word_bpe_49k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
+def op13_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(prefixes.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality, op2_token_counts, op3_chat, op4_packing, op5_jaccard, op6_exact, op7_licenses, op8_toxicity,
-        op9_contamination, op10_mixing,
+        op9_contamination, op10_mixing, op11_spelling, op12_bpe, op13_prefixes,
     ]
     return {f.__name__: f for f in found}

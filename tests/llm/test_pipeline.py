@@ -28,7 +28,7 @@ def test_against_sql(spark, sample_dir, name):
 
 def test_registered():
     assert set(llm_queries()) | {"pipeline"} <= set(entry_points.queries())
-    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark, sample_dir):
