@@ -540,4 +540,17 @@ def all_oracles() -> dict[str, str]:
         "dq_reviews": DQ_REVIEWS,
         "validate_ranking_ok": _validation(_rank_ctes(UNIQUE), "ranked"),
         "validate_ranking_bad": _validation(BAD_RANKING, "bad", "note"),
+        "files_csv": """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS note_id, printf('%012X', l_suppkey) AS gateway_id,
+         CASE l_linenumber WHEN 1 THEN 'said "' || l_returnflag || '",' || chr(10) || chr(10) || l_linestatus || ' ""' || chr(13) || chr(10) || 'end'
+              WHEN 2 THEN 'a "b" c' WHEN 3 THEN 'x,' || chr(10) || 'y' WHEN 4 THEN 'plain' WHEN 5 THEN 'plain' END AS note,
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity FROM lineitem""",
+        "files_master": """SELECT printf('%012X', s_suppkey + CASE WHEN s_suppkey % 11 = 5 THEN 2000000 ELSE 0 END) AS gateway_id,
+         s_name || CASE WHEN copy = 1 THEN ' (moved)' ELSE '' END || ' Größe' AS name, round(s_acctbal, 8) AS balance,
+         n_name AS nation, CAST(NULL AS VARCHAR) AS retired, CAST(copy AS DOUBLE) AS copy
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey, unnest(range(0, CASE WHEN s_suppkey % 10 = 0 THEN 2 ELSE 1 END)) AS u(copy)""",
+        "files_telemetry": """SELECT printf('%012X', user_id) AS gateway_id, ts AS ts_utc, value AS offline_duration_sec,
+         CAST(event_type = 'error' AS DOUBLE) AS disconnection_cnt, CAST(event_type = 'signup' AS INTEGER) AS reboot_cnt,
+         CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS reboot_duration_sec,
+         event_id, true AS has_place
+  FROM events WHERE strftime(ts, '%Y-%m') IN ('2023-12', '2024-01', '2024-02')""",
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from datetime import date
 
@@ -13,7 +14,8 @@ from ..functions.ids import canonical_id, clean_id
 from ..functions.numbers import non_negative, non_negative_or_null, number_or_zero
 from ..functions.text import normalize_text
 from ..operators import anomaly, cleaning, compare, dedup, features, labels, profile, ranking, validate
-from ..session import cut_lineage, use_utc
+from ..session import checkpoint_folder, cut_lineage, use_utc
+from ..sources import readers, sinks
 from ..sources import sample_tables as sample
 
 WEEKS = sample.SAMPLE_WEEKS
@@ -243,6 +245,40 @@ def validate_ranking_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate(cut_lineage(bad), WEEKS)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, for what a query writes and reads back."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def files_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remarks with quoted line breaks, written as CSV and read back by split."""
+    path = _folder(spark, "notes")
+    sinks.write_csv(sample.notes(spark, sf_dir), path)
+    return readers.read_csv(spark, path, multiline=True)
+
+
+def files_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master as a single-byte CSV: its encoding is found out, and columns of numbers are typed."""
+    path = _folder(spark, "master")
+    marked = sample.gateway_master(spark, sf_dir).withColumn("name", F.concat("name", F.lit(" Größe")))
+    marked.write.option("header", "true").option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
+    return _rounded(readers.read_gateway_master(spark, path), ["balance"])
+
+
+def files_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Telemetry by month, the later files with another type and a column more, read back by name
+    for three months."""
+    path = _folder(spark, "telemetry")
+    every = sample.telemetry(spark, sf_dir)
+    early = every.where("ts_utc < timestamp'2024-01-20'").drop("reboot_duration_sec")
+    late = every.where("ts_utc >= timestamp'2024-01-20'")
+    late = late.withColumn("disconnection_cnt", F.col("disconnection_cnt").cast("double"))
+    sinks.write_telemetry(early, path, ts="ts_utc")
+    sinks.write_telemetry(late, path, ts="ts_utc", mode="append")
+    found = readers.read_telemetry(spark, path, months=("2023-12", "2024-01", "2024-02"), with_order=True)
+    return _plain_time(found.withColumn("has_place", F.col("_file").contains("month=") & (F.col("_row") >= 0)), "ts_utc").drop("_file", "_row")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     weekly_rank_3sigma,
     weekly_rank_first_breach,
@@ -275,6 +311,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     dq_reviews,
     validate_ranking_ok,
     validate_ranking_bad,
+    files_csv,
+    files_master,
+    files_telemetry,
 )
 
 

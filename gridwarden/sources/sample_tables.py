@@ -154,3 +154,15 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 7 == 6, F.lit("n/a")).when(key % 7 == 5, F.lit("2026-2")).otherwise(F.lit("2026-02-15")).alias("reviewed_on"),
         "copy",
     )
+
+
+def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as remarks with commas, quotes and line breaks."""
+    line = F.col("l_linenumber")
+    said = F.concat(F.lit("said \""), F.col("l_returnflag"), F.lit("\","), F.lit("\n\n"), F.col("l_linestatus"), F.lit(" \"\"\r\nend"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"), F.col("l_partkey").cast("string")).alias("note_id"),
+        hex_id(F.col("l_suppkey")).alias("gateway_id"),
+        F.when(line == 1, said).when(line == 2, F.lit("a \"b\" c")).when(line == 3, F.lit("x,\ny")).when(line < 6, F.lit("plain")).alias("note"),
+        F.col("l_quantity").cast("int").cast("string").alias("quantity"),
+    )
