@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -28,12 +28,11 @@ WORDS = 3
 NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
-SKETCH = 256  # bits that tell how many elements two sets differ in at least
+SKETCH = 1024  # bits that tell how many elements two sets differ in at least, for sets up to twice as large
 BITS = [f"s{i}" for i in range(SKETCH // 64)]
 TALLIES = 1 << 18  # counts by which elements are ordered from rare to frequent, however many there are
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
-PROBE = 1 << 40  # a probe's weight in a key's tally, above any count of rows
 ROUND_ROWS = 200  # texts that are Python objects at a time
 SEEN_SETS = 100_000  # digests that a task remembers, so as not to emit equal sets' keys again
 
@@ -209,9 +208,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshol
     """Of ``a, b, split``, the pairs ``a, b`` that link by their whole texts (``id, t``).
 
     ``split`` says over how many tasks the pairs of one ``b`` are dealt; its text goes to each.
-    ``pairs`` should be written. Of texts with one id the first counts."""
+    ``pairs`` should be written. Where rows of one id have different texts, any of them may link."""
     wanted = small_or_not(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), 32)
-    texts = texts.join(wanted, F.col("id") == F.col("_id"), "left_semi").groupBy("id").agg(F.min("t").alias("t"))
+    texts = texts.join(wanted, F.col("id") == F.col("_id"), "left_semi").select("id", "t").distinct()
     sides = pairs.groupBy("b").agg(F.max("split").alias("split"))
     right = (
         texts.select(F.col("id").alias("b"), F.col("t").alias("tb"))
@@ -228,8 +227,8 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshol
         for part in slices(batches, ROUND_ROWS):
             keep = []
             for b, ta, tb in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                if b != last:
-                    last, known = b, shingles(tb, width)
+                if (b, tb) != last:
+                    last, known = (b, tb), shingles(tb, width)
                 own = shingles(ta, width)
                 common = len(np.intersect1d(own, known, assume_unique=True))
                 keep.append(threshold.links(common, len(own), len(known)))
@@ -277,7 +276,10 @@ def near_groups(
     texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     links = _links(scratch, texts, met, sketches, width, threshold)
     scratch.drop("sketches")
-    roots = connected_components(links)
+    # An id whose rows have different texts is in several classes, and joins them.
+    of_id = class_of.where("rep is not null").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+    several = of_id.where("a <> b").select("id", "a")
+    roots = connected_components(links.union(class_of.join(several, "id").select("a", F.col("rep").alias("b"))))
     scratch.drop("links", "links_apart")
     found = class_of.join(roots, class_of["rep"] == roots["node"], "left")
     kind = docs.schema[key].dataType
@@ -307,18 +309,18 @@ def _may_link(a: str, b: str, threshold: Threshold) -> str:
 def _meetings(scratch: Scratch, sets: DataFrame, class_of: DataFrame) -> DataFrame:
     """``key, rep, probe, c``: the classes under each key that several share and one probes, and
     how many they are."""
-    # Two numbers a row, as these are the most rows: the key, and the id with a last bit for a probe.
-    twice = F.shiftleft("id", 1)
-    keyed = sets.select(F.explode("index_keys").alias("key"), twice.alias("who"))
-    keyed = keyed.union(sets.select(F.explode("probe_keys").alias("key"), (twice + 1).alias("who")))
-    tally = F.sum(F.lit(1) + F.when(F.col("who") % 2 != 0, F.lit(PROBE)).otherwise(F.lit(0)))
-    shared = keyed.groupBy("key").agg(tally.alias("n")).where(f"n > {PROBE} and n % {PROBE} > 1").select("key")
+    # The most rows there are, so they are dealt by key once, and each sees what its key holds.
+    index = sets.select(F.explode("index_keys").alias("key"), "id", F.lit(0).cast("tinyint").alias("probe"))
+    probes = sets.select(F.explode("probe_keys").alias("key"), "id", F.lit(1).cast("tinyint").alias("probe"))
+    of_key = Window.partitionBy("key")
+    shared = index.union(probes).select(
+        "key", "id", "probe", (F.min("id").over(of_key) < F.max("id").over(of_key)).alias("several"), F.max("probe").over(of_key).alias("p")
+    )
+    shared = shared.where("several and p = 1").select("key", "id", "probe")
     # Ids give way to their classes; of a class one row per key stays.
     member = class_of.where("rep is not null").select("id", "rep").distinct()
     met = (
-        keyed.join(shared, "key", "left_semi")
-        .select("key", F.shiftright("who", 1).alias("id"), F.abs(F.col("who") % 2).cast("int").alias("probe"))
-        .join(member, "id")
+        shared.join(member, "id")
         .groupBy("key", "rep")
         .agg(F.max("probe").alias("probe"))
     )
@@ -421,10 +423,11 @@ def _rarest_meetings(
             keys = np.concatenate(chosen).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, *columns)], names=["key", "rep", "comp"])
 
-    keyed = _texts_of(texts, apart).mapInArrow(rarest, "key bigint, rep bigint, comp bigint").repartition("key")
-    split = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    keyed = _texts_of(texts, apart).mapInArrow(rarest, "key bigint, rep bigint, comp bigint")
+    of_key = Window.partitionBy("key")
+    split = keyed.select("*", (F.min("comp").over(of_key) < F.max("comp").over(of_key)).alias("split")).where("split")
     # Rows of one id are one class; they still lie together by key, so this takes no further shuffle.
-    met = keyed.join(split, "key", "left_semi").distinct().join(sketches, F.col("rep") == sketches["id"])
+    met = split.select("key", "rep", "comp").distinct().join(sketches, F.col("rep") == sketches["id"])
     met = scratch.write(met.select("key", "rep", "comp", "n", *BITS), "rarest")
     p, q = met.alias("p"), met.alias("q")
     alike = F.expr(f"p.comp <> q.comp and p.rep < q.rep and {_may_link('p', 'q', threshold)}")

@@ -68,6 +68,27 @@ def test_near_groups(make_docs, width, numerator):
     assert len(out) == len(rows)
 
 
+def test_ids_at_the_ends_of_their_range(make_docs):
+    """The same groups under ids from 2^62 on, negative ones among them."""
+    places = {0: -(2**63), 1: 2**63 - 1, 2: 2**62, 3: 2**62 + 1, 4: -(2**62) - 3}
+    rows = [(places.get(i, 2**63 - 1000 + i if i % 2 else -(2**62) - i), t, s) for i, t, s in near_texts(6) if i < 140]
+    out = jaccard.near_groups(make_docs(rows).repartition(3)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == brute_groups(rows, 3, 90, 100)
+
+
+def test_one_id_with_two_texts(make_docs):
+    """It is one node: what is near either text is near it, and through it both are one group."""
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abc"]
+    near = [t + " more" for t in base]
+    rows = [(5, base[0], "s"), (5, base[1], "s"), (9, near[0], "s"), (7, near[1], "s"), (3, base[2], "s"), (8, near[2], "s"), (5, base[0], "s")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_groups(make_docs(rows)).collect()}
+    assert got == {5: 5, 9: 5, 7: 5, 3: 3, 8: 3}
+    # equal texts under other ids, so that the two classes have other representatives
+    rows += [(1, base[0], "s"), (2, base[1], "s")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_groups(make_docs(rows)).collect()}
+    assert got == {5: 1, 9: 1, 7: 1, 1: 1, 2: 1, 3: 3, 8: 3}
+
+
 def test_linked_sets_share_a_probed_key():
     rng = np.random.default_rng(0)
     threshold = jaccard.Threshold()
