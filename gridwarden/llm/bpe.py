@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, ship, slices
+from .common import ship, slices
 
 ROUND_ROWS = 200  # texts that are Python objects at a time
-ROUND_CHARS = 4 << 20
-CACHED_CHUNKS = 400_000
+CACHED_PIECES = 400_000
 CACHED_LENGTH = 64
 CACHED_PAIRS = 1_000_000
 BLOCK_TOKENS = 1 << 20  # tokens decoded at once
@@ -31,7 +31,27 @@ NEVER = 1 << 62
 #: The last character of a word carries the end mark as another character, this far away.
 ENDING = 0x1000
 BETWEEN = "\n"  # no token holds it: byte-level characters are all visible
-BLANKS = re.compile(r"[ \t\n\r]+")
+
+# The pieces of this family of tokenizers, after these normalisers.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+
+#: Latin texts without other white space or control characters, which need no normalising but lower
+#: case: the pattern's classes are spelled out for them and one pass finds the pieces.
+LATIN = re.compile("[\\t\\n\\r -~\xa1-\u012f\u0131-\u024f]*")
+LATIN_END = 0x250
+
+
+def _latin_class(kind: str) -> str:
+    return "".join(re.escape(chr(c)) for c in range(LATIN_END) if unicodedata.category(chr(c))[0] == kind)
+
+
+LATIN_PIECES = re.compile(
+    PATTERN.replace(r"\s", " \t\n\r").replace(r"\p{L}", _latin_class("L")).replace(r"\p{N}", _latin_class("N"))
+)
+#: Each byte as the visible character that byte-level pieces have for it: itself where it is one.
+VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTES = dict(zip([b for b in range(256) if b not in VISIBLE], map(chr, range(256, 512)), strict=False))
 
 
 class Vocabulary:
@@ -60,10 +80,11 @@ class Vocabulary:
         self.split = library.pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: t["id"] for t in added}
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if added else None
-        # Pieces that never hold a blank let a text be cut at blanks; else it is taken whole.
-        self.by_blanks = [p for p, _ in self.split("a b \t\r\n c")] == ["a", "b", "c"] and not any(
-            BLANKS.search(t) for t in self.special
-        )
+        names = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.latin = names == NORMALIZERS and splits[0].get("pattern") == {"Regex": PATTERN}
+        self.latin_known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self._merges(model)
         self._automaton(ahocorasick)
         self._texts(model["vocab"], self.special)
@@ -189,29 +210,47 @@ class Vocabulary:
         return tokens
 
     def pieces(self, text: str) -> Iterator[str | int]:
-        """A text as the forms of its pieces and the ids of special strings."""
+        """A text as byte-level pieces and the ids of special strings, by the library."""
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.special:
                 yield self.special[part]
             elif part:
-                for piece, _ in self.split(self.normalized(part)):
-                    yield piece[:-1] + chr(ord(piece[-1]) + ENDING) if self.ends_words else piece
-
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        pieces = [list(self.pieces(c)) for c in chunks]
-        new = list({p for each in pieces for p in each if isinstance(p, str) and p not in self.whole})
-        found = dict(zip(new, self.encode_forms(new), strict=True))
-        out = []
-        for each in pieces:
-            ids: list[int] = []
-            for p in each:
-                if not isinstance(p, str):
-                    ids.append(p)
-                elif p in self.whole:
-                    ids.append(self.whole[p])
-                else:
-                    ids += found[p]
-            out.append(ids)
+                yield from (piece for piece, _ in self.split(self.normalized(part)))
+
+    def add(self, known: dict[str, bytes], new: list[str], byte_level: list[str]) -> None:
+        """The ids of pieces, packed, under the given names."""
+        forms = [p[:-1] + chr(ord(p[-1]) + ENDING) for p in byte_level] if self.ends_words else byte_level
+        apart = [f for f in forms if f not in self.whole]
+        found = iter(self.encode_forms(apart))
+        for name, form in zip(new, forms, strict=True):
+            ids = [self.whole[form]] if form in self.whole else next(found)
+            known[name] = np.array(ids, np.int32).tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text. Equal pieces are encoded once and kept while they fit."""
+        out: list[bytes] = [b""] * len(texts)
+        latin, others = {}, {}
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.latin and LATIN.fullmatch(text) and not (self.specials and self.specials.search(text)):
+                latin[i] = LATIN_PIECES.findall(text.lower())
+            else:
+                others[i] = list(self.pieces(text))
+        new = [*set().union(*latin.values()) - self.latin_known.keys()]
+        self.add(self.latin_known, new, [p.encode().decode("latin-1").translate(BYTES) for p in new])
+        for i, pieces in latin.items():
+            out[i] = b"".join(map(self.latin_known.__getitem__, pieces))
+        more = [*{p for each in others.values() for p in each if isinstance(p, str)} - self.known.keys()]
+        self.add(self.known, more, more)
+        for i, pieces in others.items():
+            out[i] = b"".join(self.known[p] if isinstance(p, str) else np.int32(p).tobytes() for p in pieces)
+        for known, names in ((self.latin_known, new), (self.known, more)):
+            if len(known) > CACHED_PIECES:
+                known.clear()
+            for name in names:
+                if len(name) > CACHED_LENGTH:
+                    known.pop(name, None)
         return out
 
     def decode(self, ids: np.ndarray, rows: np.ndarray) -> pa.Array:
@@ -237,7 +276,6 @@ class Vocabulary:
 
 
 _vocabularies: dict[str, Vocabulary] = {}
-_known: dict[str, dict[str, list[int]]] = {}
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -247,26 +285,6 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
-def encode_texts(texts: list[str | None], path: str) -> list[list[list[int]]]:
-    """For each text, the tokens of its chunks. Chunks between blanks are encoded once and kept
-    while they fit."""
-    vocab = vocabulary(path)
-    known = _known.setdefault(path, {})
-    out: list[list[list[int]]] = []
-    plain = [t or "" for t in texts]
-    for run in by_bytes(plain, ROUND_CHARS):
-        cut = [BLANKS.split(plain[i]) if vocab.by_blanks else [plain[i]] for i in run]
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        new = list(set().union(*cut) - known.keys())
-        known.update(zip(new, vocab.encode_chunks(new), strict=True))
-        out += [list(map(known.__getitem__, chunks)) for chunks in cut]
-        for chunk in new:
-            if len(chunk) > CACHED_LENGTH:
-                del known[chunk]
-    return out
-
-
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, ids`` for every row of ``docs``: the tokens of the whole text as the tokenizers library
     gives them for the file ``path``, without added begin and end tokens; special strings in a text
@@ -281,12 +299,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(path)
         for part in slices(batches, ROUND_ROWS):
-            found = encode_texts(part.column(1).to_pylist(), path)
-            flat = np.fromiter((i for chunks in found for ids in chunks for i in ids), np.int32)
-            sizes = [sum(map(len, chunks)) for chunks in found]
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            found = vocab.encode(part.column(1).to_pylist())
+            ends = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
             yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["k", "ids"])
 
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
