@@ -17,13 +17,15 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage, require_utc
 from .dedup import keep_by_key
-from .weeks import NO_WEEK, WeekGrid, week_grid
+from .weeks import NO_WEEK, WeekGrid, require_whole_buckets, week_grid
 
 # The scored metrics in the order in which a row's reason is picked, and the defaults.
 METRICS = ("offline_duration_sec", "disconnection_cnt", "reboot_cnt")
 BASELINE_DAYS = 28
 RECENT_DAYS = 7
 SIGMA = 3.0
+# Length of the buckets of stored moments.
+STORED_DAYS = 7
 
 REASON_MODES = ("first_reading", "first_breach")
 
@@ -45,6 +47,14 @@ def scoring_rows(
 ) -> DataFrame:
     """``k, ts, x0..`` within the grid's range, NaN as null; one row per (k, ts) if ``order`` is
     given. Leave ``order`` out for telemetry that cleaning has already made unique."""
+    in_range = grid.in_range(f"`{ts}`", telemetry.schema[ts].dataType.simpleString())
+    return prepared_rows(telemetry.where(in_range), metrics, key, ts, order)
+
+
+def prepared_rows(
+    telemetry: DataFrame, metrics: Sequence[str], key: str, ts: str, order: Sequence[str] = ()
+) -> DataFrame:
+    """``k, ts, x0..`` of the rows that have a key; see ``scoring_rows``."""
     schema = telemetry.schema
     if not isinstance(schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)):
         raise TypeError(f"{ts} must be a timestamp, not {schema[ts].dataType.simpleString()}")
@@ -55,8 +65,7 @@ def scoring_rows(
         floating = isinstance(schema[m].dataType, (T.DoubleType, T.FloatType))
         number = f"cast(`{m}` as double)"
         values.append(f"nanvl({number}, null) as x{i}" if floating else f"{number} as x{i}")
-    in_range = grid.in_range(f"`{ts}`", schema[ts].dataType.simpleString())
-    rows = telemetry.where(f"{in_range} and `{key}` is not null").selectExpr(
+    rows = telemetry.where(f"`{key}` is not null").selectExpr(
         f"`{key}` as k", f"`{ts}` as ts", *values, *[f"`{c}`" for c in order]
     )
     if order:
@@ -65,21 +74,39 @@ def scoring_rows(
     return rows
 
 
-def _stats_sql(grid: WeekGrid, width: int) -> str:
-    """Common table expressions from ``{rows}`` to ``stats(week_start, k, first_ts, mean0, std0, ..)``.
+def moment_columns(width: int) -> str:
+    """Count, mean, centred sum of squares, minimum and maximum of each metric, beside the first time
+    and the number of rows."""
+    return "min(ts) AS first_ts, count(*) AS n_rows, " + ", ".join(
+        f"count(x{i}) AS n{i}, try_divide(sum(x{i}), count(x{i})) AS mean{i}, var_pop(x{i}) * count(x{i}) AS m2_{i}, "
+        f"min(x{i}) AS lo{i}, max(x{i}) AS hi{i}"
+        for i in range(width)
+    )
+
+
+def _moments_sql(grid: WeekGrid, width: int, from_store: bool = False) -> str:
+    """``moments`` per key and bucket, from ``{rows}`` or from ``{stored}`` moments."""
+    if from_store:
+        return f"""moments AS (
+  SELECT *, cast(floor(date_diff(stored_bucket, DATE'{grid.origin.isoformat()}') / {grid.bucket_days}) AS int) AS bucket
+  FROM {{stored}} WHERE stored_bucket >= DATE'{grid.origin.isoformat()}' AND stored_bucket < DATE'{grid.end.isoformat()}'
+)"""
+    return f"""moments AS (
+  SELECT k, bucket, {moment_columns(width)}
+  FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}})
+  GROUP BY k, bucket
+)"""
+
+
+def _stats_sql(grid: WeekGrid, width: int, from_store: bool = False) -> str:
+    """Common table expressions to ``stats(week_start, k, first_ts, mean0, std0, ..)``.
 
-    ``moments`` holds count, mean, centred sum of squares, minimum and maximum per key and bucket.
     Buckets merge by the parallel-variance rule around the merged mean. A series whose minimum
     equals its maximum has deviation exactly 0, whatever order the partial sums arrived in.
     ``first_ts`` is the first recent time, null without recent rows.
     """
-    moments, centred, merged, stats = [], [], [], []
+    centred, merged, stats = [], [], []
     for i in range(width):
-        x = f"x{i}"
-        moments.append(
-            f"count({x}) AS n{i}, try_divide(sum({x}), count({x})) AS mean{i}, var_pop({x}) * count({x}) AS m2_{i}, "
-            f"min({x}) AS lo{i}, max({x}) AS hi{i}"
-        )
         centred.append(f"try_divide(sum(n{i} * mean{i}) OVER w, sum(n{i}) OVER w) AS all{i}")
         merged.append(
             f"sum(n{i}) AS n{i}, max(all{i}) AS mean{i}, "
@@ -91,11 +118,7 @@ def _stats_sql(grid: WeekGrid, width: int) -> str:
             f"WHEN lo{i} = hi{i} THEN 0d ELSE sqrt(m2_{i} / (n{i} - 1)) END AS std{i}"
         )
     gaps = "" if all(grid.baseline) else f"WHERE week_start <> DATE'{NO_WEEK.isoformat()}'"
-    return f"""moments AS (
-  SELECT k, bucket, min(ts) AS first_ts, count(*) AS n_rows, {", ".join(moments)}
-  FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}})
-  GROUP BY k, bucket
-), spread AS (
+    return f"""{_moments_sql(grid, width, from_store)}, spread AS (
   SELECT *, explode_outer({grid.baseline_weeks("bucket")}) AS week_start,
          {grid.recent_weeks("bucket")} AS recent_weeks
   FROM moments
@@ -132,7 +155,9 @@ def _run(sql: str, rows: DataFrame, **tables: DataFrame) -> DataFrame:
     return rows.sparkSession.sql(sql, rows=rows, **tables)
 
 
-def _thresholds_sql(grid: WeekGrid, width: int, sigma: float, floor: float | None = None) -> str:
+def _thresholds_sql(
+    grid: WeekGrid, width: int, sigma: float, floor: float | None = None, from_store: bool = False
+) -> str:
     """... to ``thresholds``: mean plus sigma deviations, null where the deviation is 0 or undefined."""
     limits = []
     for i in range(width):
@@ -141,7 +166,7 @@ def _thresholds_sql(grid: WeekGrid, width: int, sigma: float, floor: float | Non
             complaint = f"metric {i} has readings below the declared floor {floor}"
             limit = f"if({limit} < {floor!r}d, cast(raise_error('{complaint}') AS double), {limit})"
         limits.append(f"{limit} AS limit{i}")
-    return f"""{_stats_sql(grid, width)}, thresholds AS (
+    return f"""{_stats_sql(grid, width, from_store)}, thresholds AS (
   SELECT k, week_start, first_ts, n_rows, {", ".join(limits)} FROM stats WHERE first_ts IS NOT NULL
 )"""
 
@@ -256,6 +281,7 @@ def score_weeks(
     floor: float | None = None,
     measure: bool = False,
     derived: bool = False,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """``week_start, key, score, metric`` for every key with at least one recent row.
 
@@ -270,16 +296,23 @@ def score_weeks(
     with it, one job that shares the deduplication is the better plan. ``derived`` says that the
     telemetry is not a stored table but comes out of a shuffle (cleaning, say): both uses of it are
     then kept identical, so that they share that shuffle, instead of cutting one to the recent days.
+
+    ``moments`` are stored ones (``stored.read_moments``) that cover the baselines: then only the
+    recent days of ``telemetry`` are read.
     """
     if reason_mode not in REASON_MODES:
         raise ValueError(f"unknown reason_mode {reason_mode!r}")
     grid = week_grid(weeks, baseline_days, recent_days)
     width = len(metrics)
-    rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
-    steps = [_thresholds_sql(grid, width, sigma, floor)]
     tables, small = {}, False
+    if moments is not None:
+        telemetry = telemetry.where(grid.recent_range(f"`{ts}`", telemetry.schema[ts].dataType.simpleString()))
+        require_whole_buckets(grid, STORED_DAYS)
+        tables = {"stored": moments}
+    rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
+    steps = [_thresholds_sql(grid, width, sigma, floor, moments is not None)]
     if measure:
-        thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows))
+        thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows, **tables))
         small = _bytes(thresholds, width) <= BROADCAST_BYTES
         tables = {"measured": thresholds}
         steps = ["thresholds AS (SELECT * FROM {measured})"]

@@ -69,6 +69,7 @@ def rank_weeks(
     floor: float | None = None,
     measure: bool = False,
     derived: bool = False,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """``week_start, rank, gateway_id, score, reason`` for all weeks at once; see ``score_weeks``."""
     scores = score_weeks(
@@ -85,6 +86,7 @@ def rank_weeks(
         floor,
         measure,
         derived,
+        moments,
     )
     reason = reason_text(F.col("score"), F.col("metric"), reason_mode, baseline_days, recent_days, sigma)
     return top_per_week(scores, n, key).select(

@@ -10,6 +10,9 @@ from math import gcd
 # No scored week. A non-null date, so that a join on the week infers no filter of its own.
 NO_WEEK = date(1970, 1, 1)
 
+# Stored buckets begin whole numbers of their length from this Monday.
+ANCHOR = date(1970, 1, 5)
+
 Holders = tuple[tuple[date, ...], ...]
 
 
@@ -76,6 +79,12 @@ def week_grid(weeks: Sequence[date], baseline_days: int = 28, recent_days: int =
     return WeekGrid(origin, weeks[-1], step, holders(baseline_days), holders(recent_days))
 
 
+def require_whole_buckets(grid: WeekGrid, days: int) -> None:
+    """Refuse windows that would cut stored buckets of ``days`` days."""
+    if grid.bucket_days % days or (grid.origin - ANCHOR).days % days:
+        raise ValueError(f"windows must begin and end with stored buckets of {days} days from {ANCHOR}")
+
+
 def grid_months(weeks: Sequence[date], baseline_days: int = 28) -> list[str]:
     """The months (``yyyy-MM``) that the windows touch and one more on either side, for data whose
     folders follow another clock than the readings."""

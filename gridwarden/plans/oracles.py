@@ -471,6 +471,7 @@ TRIMMED = "trim(raw, ' ' || chr(9))"
 def all_oracles() -> dict[str, str]:
     return {
         "weekly_rank_3sigma": _rank(UNIQUE),
+        "weekly_rank_stored": _rank(UNIQUE),
         "weekly_rank_first_breach": _rank(RAW, first_breach=True),
         "weekly_rank_sigma1": _rank(UNIQUE, sigma="1"),
         "weekly_rank_dirty": _rank(CLEAN_TELE, sigma="1.5"),

@@ -13,7 +13,7 @@ from ..functions.dates import day_text, to_utc
 from ..functions.ids import canonical_id, clean_id
 from ..functions.numbers import non_negative, non_negative_or_null, number_or_zero
 from ..functions.text import normalize_text
-from ..operators import anomaly, cleaning, compare, dedup, features, labels, profile, ranking, validate
+from ..operators import anomaly, cleaning, compare, dedup, features, labels, profile, ranking, stored, validate
 from ..session import checkpoint_folder, cut_lineage, use_utc
 from ..sources import readers, sinks
 from ..sources import sample_tables as sample
@@ -58,6 +58,16 @@ def weekly_rank_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_weeks(clean, WEEKS, sigma=1.5, floor=0.0, derived=True)
 
 
+def weekly_rank_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking from stored moments: some readings of two weeks arrive after the store was written."""
+    path = _folder(spark, "moments")
+    every = sample.telemetry(spark, sf_dir)
+    late = (F.col("ts_utc") < F.lit("2024-01-12").cast("timestamp_ntz")) & (F.col("event_id") % 10 == 3)
+    stored.write_moments(every.where(~late), path, order=ROW_ORDER)
+    stored.add_late_rows(every, every.where(late), path, order=ROW_ORDER)
+    return ranking.rank_weeks(every, WEEKS, order=ROW_ORDER, moments=stored.read_moments(spark, path))
+
+
 def weekly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all gateways for windows that are not whole weeks (21 and 3 days)."""
     return anomaly.score_weeks(
@@ -285,6 +295,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     weekly_rank_repeated,
     weekly_rank_sigma1,
     weekly_rank_dirty,
+    weekly_rank_stored,
     weekly_scores,
     weekly_baseline_stats,
     hourly_flags,
