@@ -117,16 +117,18 @@ def _stats_sql(grid: WeekGrid, width: int, from_store: bool = False) -> str:
             f"if(lo{i} = hi{i}, lo{i}, mean{i}) AS mean{i}, CASE WHEN n{i} <= 1 THEN null "
             f"WHEN lo{i} = hi{i} THEN 0d ELSE sqrt(m2_{i} / (n{i} - 1)) END AS std{i}"
         )
-    gaps = "" if all(grid.baseline) else f"WHERE week_start <> DATE'{NO_WEEK.isoformat()}'"
+    if grid.as_table:
+        gaps, spread = "", "SELECT /*+ BROADCAST(h) */ moments.*, h.week_start, h.is_recent FROM moments JOIN {holders} h USING (bucket)"
+    else:
+        gaps = "" if all(grid.baseline) else f"WHERE week_start <> DATE'{NO_WEEK.isoformat()}'"
+        spread = f"""SELECT *, array_contains({grid.recent_weeks("bucket")}, week_start) AS is_recent
+  FROM (SELECT *, explode_outer({grid.baseline_weeks("bucket")}) AS week_start FROM moments)"""
     return f"""{_moments_sql(grid, width, from_store)}, spread AS (
-  SELECT *, explode_outer({grid.baseline_weeks("bucket")}) AS week_start,
-         {grid.recent_weeks("bucket")} AS recent_weeks
-  FROM moments
+  {spread}
 ), centred AS (
   SELECT *, {", ".join(centred)} FROM spread {gaps} WINDOW w AS (PARTITION BY k, week_start)
 ), merged AS (
-  SELECT k, week_start, min(if(array_contains(recent_weeks, week_start), first_ts, null)) AS first_ts,
-         sum(if(array_contains(recent_weeks, week_start), n_rows, 0)) AS n_rows,
+  SELECT k, week_start, min(if(is_recent, first_ts, null)) AS first_ts, sum(if(is_recent, n_rows, 0)) AS n_rows,
          {", ".join(merged)}
   FROM centred GROUP BY k, week_start
 ), stats AS (
@@ -148,10 +150,12 @@ def baseline_stats(
     grid = week_grid(weeks, baseline_days, recent_days)
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
     named = ", ".join(f"{p}{i} AS `{p}_{m}`" for i, m in enumerate(metrics) for p in ("mean", "std"))
-    return _run(f"WITH {_stats_sql(grid, len(metrics))} SELECT week_start, k AS `{key}`, {named} FROM stats", rows)
+    return _run(f"WITH {_stats_sql(grid, len(metrics))} SELECT week_start, k AS `{key}`, {named} FROM stats", rows, grid)
 
 
-def _run(sql: str, rows: DataFrame, **tables: DataFrame) -> DataFrame:
+def _run(sql: str, rows: DataFrame, grid: WeekGrid, **tables: DataFrame) -> DataFrame:
+    if grid.as_table:
+        tables["holders"] = grid.holders(rows.sparkSession)
     return rows.sparkSession.sql(sql, rows=rows, **tables)
 
 
@@ -211,11 +215,14 @@ def _flagged_sql(
     cases = " ".join(f"WHEN flag{i} = 1 THEN {i}" for i in range(width))
     total = " + ".join(f"flag{i}" for i in range(width))
     scored = f"(week_start <> DATE'{NO_WEEK.isoformat()}' OR rand(0) > 2)"
-    recent = f"""recent AS (
-  SELECT * FROM (
-    SELECT *, {grid.recent_week("bucket")} AS week_start
-    FROM (SELECT *, {grid.bucket("ts")} AS bucket FROM {{rows}} WHERE {where})
-  ) WHERE {scored}
+    bucketed = f"SELECT *, {grid.bucket('ts')} AS bucket FROM {{rows}} WHERE {where}"
+    if grid.as_table:
+        recent = f"""recent AS (
+  SELECT /*+ BROADCAST(h) */ b.*, h.week_start FROM ({bucketed}) b JOIN {{holders}} h ON b.bucket = h.bucket AND h.is_recent
+)"""
+    else:
+        recent = f"""recent AS (
+  SELECT * FROM (SELECT *, {grid.recent_week("bucket")} AS week_start FROM ({bucketed})) WHERE {scored}
 )"""
     if small:
         joined = "SELECT /*+ BROADCAST(thresholds) */ * FROM recent JOIN thresholds USING (k, week_start)"
@@ -258,6 +265,7 @@ def flag_rows(
         f"WITH {_thresholds_sql(grid, width, sigma)}, {_flagged_sql(grid, width)} "
         f"SELECT week_start, k AS `{key}`, ts, {named}, flags, {_metric_name(metrics)} FROM flagged",
         rows,
+        grid,
     )
 
 
@@ -312,7 +320,7 @@ def score_weeks(
     rows = scoring_rows(telemetry, grid, metrics, key, ts, order)
     steps = [_thresholds_sql(grid, width, sigma, floor, moments is not None)]
     if measure:
-        thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows, **tables))
+        thresholds = cut_lineage(_run(f"WITH {steps[0]} SELECT * FROM thresholds", rows, grid, **tables))
         small = _bytes(thresholds, width) <= BROADCAST_BYTES
         tables = {"measured": thresholds}
         steps = ["thresholds AS (SELECT * FROM {measured})"]
@@ -333,5 +341,6 @@ def score_weeks(
     return _run(
         f"WITH {', '.join(steps)} SELECT week_start, k AS `{key}`, score, {_metric_name(metrics)} FROM scores",
         rows,
+        grid,
         **tables,
     )

@@ -7,12 +7,18 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from math import gcd
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 # No scored week. A non-null date, so that a join on the week infers no filter of its own.
 NO_WEEK = date(1970, 1, 1)
 
 # Stored buckets begin whole numbers of their length from this Monday.
 ANCHOR = date(1970, 1, 5)
 
+# Longer lists of (week, bucket) are a table that is joined, not literals in the plan.
+MOST_LITERALS = 512
+
 Holders = tuple[tuple[date, ...], ...]
 
 
@@ -28,6 +34,22 @@ class WeekGrid:
     bucket_days: int
     baseline: Holders
     recent: Holders
+    weeks: tuple[date, ...] = ()
+    baseline_days: int = 0
+    recent_days: int = 0
+
+    @property
+    def as_table(self) -> bool:
+        return len(self.weeks) * (self.baseline_days // self.bucket_days) > MOST_LITERALS
+
+    def holders(self, spark: SparkSession) -> DataFrame:
+        """``bucket, week_start, is_recent``: which weeks' windows hold which buckets, worked out from
+        the list of weeks by Spark. As long as the list times the buckets of a window."""
+        weeks = spark.createDataFrame([(w,) for w in self.weeks], "week_start date")
+        stop = (F.date_diff("week_start", F.lit(self.origin)) / self.bucket_days).cast("int")
+        first, recent = stop - self.baseline_days // self.bucket_days, stop - self.recent_days // self.bucket_days
+        held = weeks.select("week_start", recent.alias("recent"), F.explode(F.sequence(first, stop - 1)).alias("bucket"))
+        return held.select("bucket", "week_start", (F.col("bucket") >= F.col("recent")).alias("is_recent"))
 
     def in_range(self, ts: str, sql_type: str) -> str:
         """Half-open and in the column's own type, so that the filter reaches the scan."""
@@ -76,7 +98,9 @@ def week_grid(weeks: Sequence[date], baseline_days: int = 28, recent_days: int =
                 held[b].append(week)
         return tuple(tuple(h) for h in held)
 
-    return WeekGrid(origin, weeks[-1], step, holders(baseline_days), holders(recent_days))
+    return WeekGrid(
+        origin, weeks[-1], step, holders(baseline_days), holders(recent_days), tuple(weeks), baseline_days, recent_days
+    )
 
 
 def require_whole_buckets(grid: WeekGrid, days: int) -> None:

@@ -9,6 +9,8 @@ WEEKS = """weeks(week_start) AS (
   VALUES (TIMESTAMP '2024-01-08'), (TIMESTAMP '2024-01-15'), (TIMESTAMP '2024-01-22'), (TIMESTAMP '2024-01-29')
 )"""
 
+UNEVEN = "weeks(week_start) AS (SELECT TIMESTAMP '2024-01-05' + to_days((i + i * i // 9)::INTEGER) FROM range(20) AS r(i))"
+
 RAW = """tele AS (
   SELECT printf('%012X', user_id) AS gateway_id, ts, event_id, value AS x0,
          CAST(event_type = 'error' AS INTEGER) AS x1, CAST(event_type = 'signup' AS INTEGER) AS x2
@@ -478,6 +480,13 @@ def all_oracles() -> dict[str, str]:
         "weekly_rank_repeated": _rank(REPEATED).replace("weeks(week_start) AS (\n  VALUES", "weeks(week_start) AS (\n  VALUES (TIMESTAMP '2023-10-02'),"),
         "weekly_scores": f"WITH {WEEKS}, {UNIQUE}, {_score_ctes(21, 3, '1.5', True)} "
         "SELECT week_start, gateway_id, score, metric FROM scores",
+        "weekly_scores_uneven": f"WITH {UNEVEN}, {UNIQUE}, {_score_ctes(sigma='1.5')} "
+        "SELECT week_start, gateway_id, score, metric FROM scores",
+        "clean_visits_inferred": """SELECT DISTINCT printf('%012X', l_suppkey) AS gateway_id,
+         l_orderkey || '-' || l_linenumber || '-' || l_partkey AS visit_id,
+         strftime(try_strptime(CASE l_linenumber WHEN 5 THEN strftime(l_shipdate, '%Y-%m-%d') WHEN 6 THEN strftime(l_shipdate, '%d/%m/%Y')
+           WHEN 7 THEN 'soon' ELSE strftime(l_shipdate, '%m/%d/%Y') END, '%m/%d/%Y'), '%Y-%m-%d') AS visited_on,
+         strftime(l_shipdate, '%Y-%m-%d') AS requested_on FROM lineitem""",
         "weekly_baseline_stats": f"WITH {WEEKS}, {UNIQUE} "
         f"SELECT CAST(week_start AS DATE) AS week_start, gateway_id, {STATS} "
         "FROM weeks JOIN tele ON ts >= week_start - INTERVAL 28 DAY AND ts < week_start "

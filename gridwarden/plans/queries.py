@@ -81,6 +81,11 @@ def weekly_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weekly_scores_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that begin on any day, some of them far apart: so many that they are joined as a table."""
+    return anomaly.score_weeks(sample.telemetry(spark, sf_dir), sample.UNEVEN_WEEKS, sigma=1.5, order=ROW_ORDER)
+
+
 def weekly_baseline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = anomaly.baseline_stats(sample.telemetry(spark, sf_dir), WEEKS, order=ROW_ORDER)
     return _rounded(stats, [c for c in stats.columns if c.startswith(("mean_", "std_"))])
@@ -99,6 +104,11 @@ def clean_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_visits(sample.visits(spark, sf_dir))
 
 
+def clean_visits_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days read in the format of each column's first value only."""
+    return cleaning.clean_visits(sample.foreign_visits(spark, sf_dir), infer_by=("l_orderkey", "line"))
+
+
 def clean_reviews_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_reviews(sample.reviews(spark, sf_dir), ("copy",))
 
@@ -297,10 +307,12 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     weekly_rank_dirty,
     weekly_rank_stored,
     weekly_scores,
+    weekly_scores_uneven,
     weekly_baseline_stats,
     hourly_flags,
     clean_telemetry,
     clean_visits,
+    clean_visits_inferred,
     clean_reviews_first,
     labels_last,
     gateway_id_forms,

@@ -6,7 +6,7 @@ cleaning operators have something to do.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from ..operators.weeks import mondays
 
 # The Mondays with data before them in the sample events.
 SAMPLE_WEEKS = tuple(mondays(date(2024, 1, 8), 4))
+UNEVEN_WEEKS = tuple(date(2024, 1, 5) + timedelta(days=i + i * i // 9) for i in range(20))
 # Texts that no date can be read from, among them some that begin like one.
 BAD_TIMES = ("bad", "12:30", "T10:00", "2024-01", "2024-01-05 junk")
 
@@ -166,3 +167,21 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line == 1, said).when(line == 2, F.lit("a \"b\" c")).when(line == 3, F.lit("x,\ny")).when(line < 6, F.lit("plain")).alias("note"),
         F.col("l_quantity").cast("int").cast("string").alias("quantity"),
     )
+
+
+def foreign_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as visits whose days are written month first, some of them otherwise;
+    ``l_orderkey, line`` is the row order."""
+    line, day_of = F.col("l_linenumber"), F.col("l_shipdate")
+    return table(spark, sf_dir, "lineitem").select(
+        hex_id(F.col("l_suppkey")).alias("gateway_id"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), line.cast("string"), F.col("l_partkey").cast("string")).alias("visit_id"),
+        F.when(line == 5, F.date_format(day_of, "yyyy-MM-dd"))
+        .when(line == 6, F.date_format(day_of, "dd/MM/yyyy"))
+        .when(line == 7, F.lit("soon"))
+        .otherwise(F.date_format(day_of, "MM/dd/yyyy"))
+        .alias("visited_on"),
+        F.concat(F.date_format(day_of, "d MMM yyyy"), F.lit(" 23:15")).alias("requested_on"),
+        "l_orderkey",
+        line.alias("line"),
+    )
