@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ship, small_or_not
+from .common import Scratch, ship, small_or_not
 from .wordhash import mix
 
 ORDER = 5
@@ -143,7 +143,9 @@ def word_ratios(vocabulary: DataFrame, model: Model) -> DataFrame:
     return both.applyInPandas(added, "word string, n bigint, ratio double")
 
 
-def features(docs: DataFrame, model: Model, key: str, text: str, driver_words: int = CACHED_WORDS) -> DataFrame:
+def features(
+    docs: DataFrame, model: Model, key: str, text: str, driver_words: int = CACHED_WORDS, scratch: Scratch | None = None
+) -> DataFrame:
     """``k, a, b, c`` for each row of ``docs``: its log-likelihood ratio over its letters, the largest
     ratio of a word, and the mean of the three largest (0 each without words).
 
@@ -151,10 +153,12 @@ def features(docs: DataFrame, model: Model, key: str, text: str, driver_words: i
     words leave their texts, meet their ratios in a join, and are added up by text again.
     """
     spark = docs.sparkSession
+    scratch = scratch or Scratch(spark)
     rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("t"))
     counted = word_counts(rows.select("t", F.lit(0).alias("y")))
-    vocabulary = cut_lineage(counted.select("word", F.col("ordinary").alias("n")))
-    ratios = cut_lineage(word_ratios(vocabulary, model))
+    vocabulary = scratch.write(counted.select("word", F.col("ordinary").alias("n")), "vocabulary")
+    ratios = scratch.write(word_ratios(vocabulary, model), "ratios")
+    scratch.drop("vocabulary")
     level = F.floor(F.log2("n")).cast("int").alias("level")
     levels = sorted(((r["level"], r["count"]) for r in ratios.groupBy(level).count().collect()), reverse=True)
     least, kept = 1 << 62, 0  # words as frequent as this are kept
@@ -194,7 +198,7 @@ def features(docs: DataFrame, model: Model, key: str, text: str, driver_words: i
     kind = rows.schema["k"].dataType.simpleString()
     out = rows.mapInArrow(run, f"k {kind}, total double, size bigint, top array<double>, rest array<string>")
     if any(1 << exponent < least for exponent, _ in levels):
-        out = cut_lineage(out).withColumn("row", F.monotonically_increasing_id())
+        out = scratch.write(out.withColumn("row", F.monotonically_increasing_id()), "scored")
         apart = out.where(F.size("rest") > 0).select("row", F.explode("rest").alias("word"))
         others = apart.join(ratios.where(F.col("n") < least).select("word", "ratio"), "word")
         others = others.groupBy("row").agg(F.sum("ratio").alias("more"), F.collect_list("ratio").alias("found"))
@@ -286,8 +290,9 @@ def gram_counts(counted: DataFrame) -> DataFrame:
     )
 
 
-def tables(found: DataFrame) -> Model:
-    """The model's tables of exact keys, from checkpointed counts. One row per byte comes to the driver."""
+def tables(found: DataFrame, scratch: Scratch | None = None) -> Model:
+    """The model's tables of exact keys, from written counts. One row per byte comes to the driver."""
+    scratch = scratch or Scratch(found.sparkSession)
     sums = lambda a, b: [F.sum("ordinary").alias(a), F.sum("toxic").alias(b)]
     seen = [F.count_if(F.col("ordinary") > 0).alias("k0"), F.count_if(F.col("toxic") > 0).alias("k1")]
     short_context = found.groupBy("short_context").agg(F.count("*").alias("st"), F.count_distinct("byte").alias("sk"))
@@ -298,7 +303,7 @@ def tables(found: DataFrame) -> Model:
         found.groupBy("full").agg(*sums("n0", "n1")),
         found.groupBy("context").agg(*sums("t0", "t1"), *seen),
         found.groupBy("short").agg(F.count("*").alias("s")),
-        cut_lineage(short_context),
+        scratch.write(short_context, "short_contexts"),
         single,
     )
 
@@ -327,9 +332,11 @@ def toxicity_model(
     first = cut_lineage(known.where(held).orderBy(F.xxhash64("_id"), "_id").limit(calibration_rows))
     others = small_or_not(cut_lineage(known.join(F.broadcast(first.select("_id")), "_id", "left_anti")), 32)
     counted = word_counts(texts.join(others, texts["_id2"] == others["_id"]).select("t", "y"))
-    model = tables(cut_lineage(gram_counts(counted)))
+    scratch = Scratch(docs.sparkSession)
+    model = tables(scratch.write(gram_counts(counted), "grams"), scratch)
     chosen = texts.join(F.broadcast(first), texts["_id2"] == first["_id"]).select("t", "y")
-    rows = features(chosen, model, "y", "t").withColumnRenamed("k", "y").toPandas()  # bounded above
+    rows = features(chosen, model, "y", "t", scratch=scratch).withColumnRenamed("k", "y").toPandas()  # bounded above
+    scratch.drop("ratios", "scored")
     if rows["y"].nunique() < 2:
         share = (rows["y"].sum() + 1) / (len(rows) + 2)
         model.weights = np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0])
