@@ -550,6 +550,13 @@ def all_oracles() -> dict[str, str]:
         "dq_reviews": DQ_REVIEWS,
         "validate_ranking_ok": _validation(_rank_ctes(UNIQUE), "ranked"),
         "validate_ranking_bad": _validation(BAD_RANKING, "bad", "note"),
+        "gateway_lookup": """SELECT printf('%012X', user_id) AS gateway_id, ts AS ts_utc, value AS offline_duration_sec,
+         CAST(event_type = 'error' AS INTEGER) AS disconnection_cnt, CAST(event_type = 'signup' AS INTEGER) AS reboot_cnt,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS reboot_duration_sec, event_id
+  FROM events WHERE user_id IN (1, 2, 30, 31, 32) AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-17'""",
+        "distinct_by_sketch": "SELECT count(*) AS rows, true AS near_gateway_id, true AS near_ts_utc FROM events",
+        "increment_table": f"WITH {REPEATED} SELECT gateway_id, ts AS ts_utc, x0 AS offline_duration_sec, x1 AS disconnection_cnt, "
+        "x2 AS reboot_cnt FROM tele",
         "files_csv": """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS note_id, printf('%012X', l_suppkey) AS gateway_id,
          CASE l_linenumber WHEN 1 THEN 'said "' || l_returnflag || '",' || chr(10) || chr(10) || l_linestatus || ' ""' || chr(13) || chr(10) || 'end'
               WHEN 2 THEN 'a "b" c' WHEN 3 THEN 'x,' || chr(10) || 'y' WHEN 4 THEN 'plain' WHEN 5 THEN 'plain' END AS note,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from ..functions.dates import day_text, to_utc
 from ..functions.ids import canonical_id, clean_id
 from ..functions.numbers import non_negative, non_negative_or_null, number_or_zero
 from ..functions.text import normalize_text
-from ..operators import anomaly, cleaning, compare, dedup, features, labels, profile, ranking, stored, validate
+from ..operators import anomaly, cleaning, compare, dedup, features, increments, labels, profile, ranking, stored, validate
 from ..session import checkpoint_folder, cut_lineage, use_utc
-from ..sources import readers, sinks
+from ..sources import file_index, readers, sinks
 from ..sources import sample_tables as sample
 
 WEEKS = sample.SAMPLE_WEEKS
@@ -299,6 +299,41 @@ def files_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_time(found.withColumn("has_place", F.col("_file").contains("month=") & (F.col("_row") >= 0)), "ts_utc").drop("_file", "_row")
 
 
+def gateway_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some gateways' week from stored telemetry, through the index of its files."""
+    path = _folder(spark, "indexed")
+    sinks.write_telemetry(sample.telemetry(spark, sf_dir), path, ts="ts_utc", partitions=8)
+    file_index.write_index(spark, path, ts="ts_utc")
+    wanted = [f"{n:012X}" for n in (1, 2, 30, 31, 32)]
+    found = file_index.read_keys(spark, path, wanted, datetime(2024, 1, 10), datetime(2024, 1, 17), ts="ts_utc")
+    return _plain_time(found.drop("month"), "ts_utc")
+
+
+def distinct_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct gateways and times merged from the sketches of the files: within 5 % of the truth."""
+    path = _folder(spark, "sketched")
+    every = sample.telemetry(spark, sf_dir)
+    sinks.write_telemetry(every, path, ts="ts_utc")
+    columns = ("gateway_id", "ts_utc")
+    file_index.write_index(spark, path, ts="ts_utc", distinct=columns)
+    found = file_index.distinct_counts(spark, path, columns)
+    exact = every.agg(*(F.count_distinct(c).alias(f"exact_{c}") for c in columns))
+    near = [(F.abs(F.col(f"unique_{c}") / F.col(f"exact_{c}") - 1) < 0.05).alias(f"near_{c}") for c in columns]
+    return found.join(exact).select("rows", *near)  # a row each
+
+
+def increment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that arrive in three parts, copies among them earlier and later than what is stored."""
+    path = _folder(spark, "unique")
+    every = sample.repeated_telemetry(spark, sf_dir)
+    part = F.pmod(F.col("sent") * 7, F.lit(3))
+    keys = ("gateway_id", "ts_utc")
+    increments.start_table(every.where(part == 1), path, keys, ("sent",))
+    for n in (2, 0):
+        increments.add_rows(every.where(part == n), path, keys, ("sent",))
+    return _plain_time(increments.read_table(spark, path).drop("month", "sent", "reboot_duration_sec"), "ts_utc")
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     weekly_rank_3sigma,
     weekly_rank_first_breach,
@@ -337,6 +372,9 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     files_csv,
     files_master,
     files_telemetry,
+    gateway_lookup,
+    distinct_by_sketch,
+    increment_table,
 )
 
 
