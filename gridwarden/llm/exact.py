@@ -22,21 +22,23 @@ def _mix(x: int) -> int:
 
 
 class CuckooIndex:
-    """Fingerprints of live digests in buckets of four, with the digests and their content beside them.
+    """Fingerprints of live digests in buckets of four, and the digests' entries in buckets beside them.
 
     A digest's fingerprint sits in one of two buckets; either is found from the other and the
-    fingerprint. A hit is only a hint: it is verified against the stored content. When an insertion
-    finds no place the table doubles and is filled again from the stored digests.
+    fingerprint. The filter is asked first: a miss is final, and what is new goes in without a look
+    at any entry. A hit is only a hint and is verified against the one bucket of entries that the
+    digest belongs to. When an insertion finds no place, filter and entries double and are filled
+    again from the stored digests. ``reads`` counts the buckets of entries that were looked into.
     """
 
     def __init__(self, buckets: int = 64):
-        self.content: dict[str, tuple] = {}
-        self.resizes = 0
+        self.resizes = self.reads = self.live = 0
         self._clear(buckets)
 
     def _clear(self, buckets: int) -> None:
         self.n = buckets
         self.table: list[list[int]] = [[] for _ in range(buckets)]
+        self.entries: list[list[tuple[str, tuple]]] = [[] for _ in range(buckets)]
 
     def _places(self, digest: str) -> tuple[int, int, int]:
         value = int(digest[:32], 16)
@@ -44,25 +46,53 @@ class CuckooIndex:
         first = (value >> 16) & (self.n - 1)
         return print_, first, first ^ (_mix(print_) & (self.n - 1))
 
+    def items(self) -> Iterator[tuple[str, tuple]]:
+        for bucket in self.entries:
+            yield from bucket
+
+    @property
+    def content(self) -> dict[str, tuple]:
+        return dict(self.items())
+
     def may_hold(self, digest: str) -> bool:
         print_, a, b = self._places(digest)
         return print_ in self.table[a] or print_ in self.table[b]
 
+    def _find(self, digest: str) -> tuple[list, int] | None:
+        """The verified place of a live digest's entry."""
+        if not self.may_hold(digest):
+            return None
+        self.reads += 1
+        bucket = self.entries[self._places(digest)[1]]
+        return next(((bucket, i) for i, (d, _) in enumerate(bucket) if d == digest), None)
+
     def get(self, digest: str) -> tuple | None:
-        """The verified content of a live digest."""
-        return self.content.get(digest) if self.may_hold(digest) else None
+        found = self._find(digest)
+        return found and found[0][found[1]][1]
 
     def insert(self, digest: str, value: tuple) -> None:
-        if digest in self.content:
+        if self._find(digest):
             raise KeyError(f"{digest} is live already")
-        self.content[digest] = value
+        self._add(digest, value)
+        self.live += 1
+
+    def update(self, digest: str, value: tuple) -> None:
+        """Another value for a live digest; the filter stays as it is."""
+        found = self._find(digest)
+        if not found:
+            raise KeyError(f"{digest} is not live")
+        found[0][found[1]] = (digest, value)
+
+    def _add(self, digest: str, value: tuple) -> None:
+        self.entries[self._places(digest)[1]].append((digest, value))
         if not self._place(digest):
-            buckets = self.n
+            stored = list(self.items())
             while True:  # a whole refill may need another doubling
-                buckets *= 2
                 self.resizes += 1
-                self._clear(buckets)
-                if all(self._place(d) for d in self.content):
+                self._clear(2 * self.n)
+                for d, v in stored:
+                    self.entries[self._places(d)[1]].append((d, v))
+                if all(self._place(d) for d, _ in stored):
                     break
 
     def _place(self, digest: str) -> bool:
@@ -83,12 +113,14 @@ class CuckooIndex:
 
     def delete(self, digest: str) -> tuple | None:
         """Take a live digest out; None if it isn't there."""
-        value = self.get(digest)
-        if value is None:
+        found = self._find(digest)
+        if not found:
             return None
+        bucket, i = found
+        value = bucket.pop(i)[1]
         print_, a, b = self._places(digest)
         self.table[a if print_ in self.table[a] else b].remove(print_)
-        del self.content[digest]
+        self.live -= 1
         return value
 
 
@@ -109,7 +141,7 @@ def live_digests(entries: DataFrame, shards: int) -> DataFrame:
         index, last = CuckooIndex(), None
 
         def result() -> Iterator[pd.DataFrame]:
-            items = list(index.content.items())
+            items = list(index.items())
             for at in range(0, len(items), 10_000):
                 yield pd.DataFrame(
                     [(d, k, n) for d, (k, n) in items[at : at + 10_000]], columns=["digest", "keep_id", "group_size"]
@@ -123,12 +155,16 @@ def live_digests(entries: DataFrame, shards: int) -> DataFrame:
                     yield from result()
                     index, last = CuckooIndex(), shard
                 keep = None if pd.isna(doc_id) else int(doc_id)
-                live = index.delete(digest)  # what was live gives way to the newer state
-                if live is not None:
-                    keep = max((k for k in (keep, live[0]) if k is not None), default=None)
-                    n += live[1]
-                if n > 0:
-                    index.insert(digest, (keep, int(n)))
+                live = index.get(digest)  # most digests are new: the filter says so
+                if live is None:
+                    if n > 0:
+                        index.insert(digest, (keep, int(n)))
+                    continue
+                keep = max((k for k in (keep, live[0]) if k is not None), default=None)
+                if n + live[1] > 0:
+                    index.update(digest, (keep, int(n + live[1])))
+                else:
+                    index.delete(digest)
         yield from result()
 
     # In the order of a digest's entries additions come first, so that a deletion finds its digest.
@@ -165,7 +201,7 @@ def exact_copies(
 
 
 def _entries(rows: DataFrame) -> DataFrame:
-    """Per task, each digest once with its largest id and the number of its rows."""
+    """Each digest once for each batch that a task reads, with its largest id and the number of its rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -105,6 +105,22 @@ def test_cuckoo_index_against_a_dict():
         index.insert(next(iter(live)), (0, 1))
 
 
+def test_the_filter_spares_reads_of_entries():
+    index = exact.CuckooIndex()
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(20_000)]
+    for i, d in enumerate(digests):
+        index.insert(d, (i, 1))
+    assert index.live == 20_000 and index.reads < 100  # false hits of the filter alone
+    index.reads = 0
+    assert all(index.get(hashlib.sha256(f"x{i}".encode()).hexdigest()) is None for i in range(20_000)) and index.reads < 100
+    index.reads = 0
+    index.update(digests[5], (9, 9))
+    assert index.get(digests[5]) == (9, 9) and index.reads == 2
+    # with every fingerprint gone nothing is found: entries are reached through the filter alone
+    index.table = [[] for _ in index.table]
+    assert index.get(digests[5]) is None
+
+
 @pytest.mark.parametrize("shard_keys", [2, 100_000])
 def test_exact_copies(make_docs, odd_rows, shard_keys):
     out = exact.exact_copies(make_docs(odd_rows).repartition(3), shard_keys=shard_keys).collect()
