@@ -10,17 +10,18 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import date_format
 
 from ..operators.cleaning import clean_reviews, clean_telemetry, clean_visits
 from ..operators.compare import by_percent, compare_classes
 from ..operators.features import gateway_features
 from ..operators.labels import review_labels, training_table
-from ..operators import profile
+from ..operators import profile, stored
 from ..operators.anomaly import METRICS
 from ..operators.ranking import FIRST_SCORED_WEEK, SCORED_WEEK_COUNT, TOP_N, rank_weeks, require_full
 from ..operators.validate import validate
 from ..operators.weeks import grid_months, mondays
-from ..session import use_utc
+from ..session import cut_lineage, use_utc
 from ..sources import readers, sinks
 
 
@@ -87,6 +88,41 @@ def run_flow(
     }
 
 
+def store_moments(spark: SparkSession, out_dir: str) -> None:
+    """Moments of the cleaned telemetry of ``run_flow``, kept beside it for the weeks to come."""
+    use_utc(spark)
+    out = out_dir.rstrip("/")
+    telemetry = spark.read.parquet(f"{out}/telemetry_clean").drop("month")
+    stored.write_moments(telemetry, f"{out}/moments")
+
+
+def add_telemetry(spark: SparkSession, new: DataFrame, out_dir: str, order: Sequence[str]) -> dict[str, int]:
+    """Raw telemetry that arrived later goes into the cleaned table: cleaned, without copies of what is
+    there (the stored reading counts), and into the moments of the buckets that it falls into."""
+    use_utc(spark)
+    out = out_dir.rstrip("/")
+    path = f"{out}/telemetry_clean"
+    held = spark.read.parquet(path).drop("month")
+    clean = cut_lineage(clean_telemetry(new, order).select(*held.columns))
+    months = [r[0] for r in clean.select(date_format("timestamp", "yyyy-MM")).distinct().collect()]  # a row a month
+    known = readers.clean_months(spark, path, months).select("gateway_id", "ts_utc")
+    added = cut_lineage(clean.join(known, ["gateway_id", "ts_utc"], "left_anti").select(*held.columns))
+    sinks.write_telemetry(added, path, mode="append")
+    telemetry = spark.read.parquet(path).drop("month")  # listed anew
+    buckets = stored.add_late_rows(telemetry, added, f"{out}/moments")
+    return {"given": clean.count(), "added": added.count(), "buckets": len(buckets)}
+
+
+def rank_next(spark: SparkSession, out_dir: str, weeks: Sequence[date], n: int = TOP_N) -> DataFrame:
+    """The ranking of some weeks from the stored moments; of the cleaned telemetry only the recent days
+    of these weeks are read."""
+    use_utc(spark)
+    out = out_dir.rstrip("/")
+    recent = readers.clean_months(spark, f"{out}/telemetry_clean", grid_months(weeks))
+    moments = stored.read_moments(spark, f"{out}/moments")
+    return rank_weeks(recent, weeks, n, floor=0.0, measure=True, moments=moments)
+
+
 def rank_raw(
     spark: SparkSession,
     data_dir: str,

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from gridwarden.operators import cleaning
 from gridwarden.operators.weeks import mondays
-from gridwarden.plans.flow import quality_report, rank_raw, run_flow, scored_weeks, validate_file
+from gridwarden.plans.flow import (
+    add_telemetry, quality_report, rank_next, rank_raw, run_flow, scored_weeks, store_moments, validate_file,
+)
 from gridwarden.schema import TELEMETRY_FEATURES
 from gridwarden.sources import readers, sinks
 
@@ -210,3 +212,20 @@ def test_quality_report(spark, data_dir):
     assert found["telemetry", "part-1.parquet", "rows"] == "50"
     assert int(found["telemetry", "part-0.parquet", "negative_disconnection_cnt"]) > 0
     assert found["engineer_reviews", "all", "category:gut"] == "10"
+
+
+def test_weeks_that_follow(spark, data_dir, tmp_path):
+    """Half of the readings first, moments stored, the rest added: the ranking of the whole flow."""
+    whole = run_flow(spark, data_dir, str(tmp_path / "whole"), WEEKS)
+    raw = readers.read_telemetry(spark, f"{data_dir}/telemetry", with_order=True).where("firmware is null").drop("firmware")
+    late = (F.col("ts_utc") >= "2026-01-19") | F.col("ts_utc").contains("T08:")
+    out = tmp_path / "out"
+    sinks.write_telemetry(cleaning.clean_telemetry(raw.where(~late), readers.FILE_ORDER), f"{out}/telemetry_clean")
+    store_moments(spark, str(out))
+    counts = add_telemetry(spark, raw, str(out), readers.FILE_ORDER)  # what is there already is given again
+    assert counts["given"] == 20 * 24 * 35 // 4 and counts["given"] > counts["added"] > 0 and counts["buckets"] == 5
+    assert add_telemetry(spark, raw, str(out), readers.FILE_ORDER)["added"] == 0
+    got = rank_next(spark, str(out), WEEKS)
+    columns = ["week_start", "rank", "gateway_id", "score", "reason"]
+    text = lambda df: sorted(tuple(map(str, r)) for r in df.select(columns).collect())
+    assert text(got) == text(whole["ranking"])
