@@ -359,7 +359,7 @@ def _links(
     scratch.drop("others", "pairs", "named")
     rest = scratch.write(_rarest_meetings(scratch, texts, apart, sketches, width, threshold), "pairs_apart")
     more = scratch.write(verified(rest, texts, width, threshold), "links_apart")
-    scratch.drop("apart", "rarest", "pairs_apart")
+    scratch.drop("apart", "rarest", "sketches_apart", "pairs_apart")
     return links.union(more)
 
 
@@ -427,8 +427,11 @@ def _rarest_meetings(
     of_key = Window.partitionBy("key")
     split = keyed.select("*", (F.min("comp").over(of_key) < F.max("comp").over(of_key)).alias("split")).where("split")
     # Rows of one id are one class; they still lie together by key, so this takes no further shuffle.
-    met = split.select("key", "rep", "comp").distinct().join(sketches, F.col("rep") == sketches["id"])
-    met = scratch.write(met.select("key", "rep", "comp", "n", *BITS), "rarest")
+    # What is dealt by key is narrow; the sketches come to it there, if they fit a broadcast.
+    rows = scratch.write(split.select("key", "rep", "comp").distinct(), "rarest").repartition("key")
+    known = sketches.join(apart.select("rep").distinct(), F.col("id") == F.col("rep"), "left_semi")
+    known = small_or_not(scratch.write(known, "sketches_apart"), SKETCH // 8 + 40)
+    met = rows.join(known, F.col("rep") == known["id"]).select("key", "rep", "comp", "n", *BITS)
     p, q = met.alias("p"), met.alias("q")
     alike = F.expr(f"p.comp <> q.comp and p.rep < q.rep and {_may_link('p', 'q', threshold)}")
     found = p.join(q, (F.col("p.key") == F.col("q.key")) & alike)

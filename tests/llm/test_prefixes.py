@@ -66,7 +66,7 @@ def made(convs, turns, seed=1):
     ]
 
 
-@pytest.mark.parametrize("task_weight", [3, 60, 10**6])
+@pytest.mark.parametrize("task_weight", [25, 10**6])
 def test_trie_against_brute_force(spark, task_weight):
     turns = made([*range(0, 40), *range(100, 130), *range(-5, 0)], 6)
     assert trie(spark, turns, task_weight=task_weight) == plain_trie(turns)
