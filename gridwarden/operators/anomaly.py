@@ -153,8 +153,8 @@ def baseline_stats(
     return _run(f"WITH {_stats_sql(grid, len(metrics))} SELECT week_start, k AS `{key}`, {named} FROM stats", rows, grid)
 
 
-def _run(sql: str, rows: DataFrame, grid: WeekGrid, **tables: DataFrame) -> DataFrame:
-    if grid.as_table:
+def _run(sql: str, rows: DataFrame, grid: WeekGrid | None = None, **tables: DataFrame) -> DataFrame:
+    if grid and grid.as_table:
         tables["holders"] = grid.holders(rows.sparkSession)
     return rows.sparkSession.sql(sql, rows=rows, **tables)
 
