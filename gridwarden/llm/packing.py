@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_bytes, ship
-from .pieces import PieceCache, cut
+from .common import ship
+from .pieces import CACHED_LENGTH, CACHED_PIECES, cut
 
 SEQ_LEN = 2048
 BLOCK_TOKENS = 4 << 20
-ROUND_CHARS = 4 << 20
 
-_encoders: dict[str, tuple[PieceCache, int]] = {}
+_encoders: dict[str, tuple[PieceIds, int]] = {}
 
 
 class Capacities:
@@ -75,7 +76,29 @@ def best_fit_decreasing(sizes: np.ndarray, length: int) -> list[list[int]]:
     return rows
 
 
-def _encoder(path: str, pattern: str) -> tuple[PieceCache, int]:
+class PieceIds(dict):
+    """The ids of pieces as little-endian bytes, worked out when first asked for and kept while they fit."""
+
+    def __init__(self, encode: Callable[[str], list[int]], kind: np.dtype):
+        self.encode = encode
+        self.code = kind.char  # arrays and dtypes share these letters
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = array(self.code, self.encode(piece))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        found = ids.tobytes()
+        if len(piece) <= CACHED_LENGTH:
+            self[piece] = found
+        return found
+
+    def of(self, text: str) -> bytes:
+        if len(self) > CACHED_PIECES:
+            self.clear()
+        return b"".join(map(self.__getitem__, cut(text)))
+
+
+def _encoder(path: str, pattern: str) -> tuple[PieceIds, int]:
     if path not in _encoders:
         import tiktoken
 
@@ -83,11 +106,7 @@ def _encoder(path: str, pattern: str) -> tuple[PieceCache, int]:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         free = max(ranks.values()) + 1
-        kind = id_type(free)
-        _encoders[path] = (
-            PieceCache(lambda texts: [np.array(encoding.encode_ordinary(t), kind).tobytes() for t in texts]),
-            free,
-        )
+        _encoders[path] = PieceIds(encoding.encode_ordinary, id_type(free)), free
     return _encoders[path]
 
 
@@ -188,18 +207,14 @@ def pack_tokens(
                     ("seg_start", pa.list_(pa.int64())),
                 ]
             )
-            batch_keys = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for taken in by_bytes(texts, ROUND_CHARS):
-                values = cache.values([cut(texts[i]) for i in taken])
-                for i, encoded in zip(taken, values, strict=True):
-                    keys.append(batch_keys[i])
-                    ids.append(np.frombuffer(b"".join(encoded), dtype))
-                    held += len(ids[-1])
-                    if held >= block_tokens:
-                        rows = packed(part, block, keys, ids, pad)
-                        yield from emit()
-                        keys, ids, held, block = [], [], 0, block + 1
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys.append(k)
+                ids.append(np.frombuffer(cache.of(t or ""), dtype))
+                held += len(ids[-1])
+                if held >= block_tokens:
+                    rows = packed(part, block, keys, ids, pad)
+                    yield from emit()
+                    keys, ids, held, block = [], [], 0, block + 1
         if keys:
             rows = packed(part, block, keys, ids, pad)
             yield from emit()

@@ -384,3 +384,22 @@ def test_kneser_ney_sums_to_one():
     g = toxicity.grams(found)
     assert len(g.byte) == sum(len(w) + 1 for w in found) and set(g.byte[g.word == 0][-1:]) == {257}
     assert len(set(g.full.tolist())) > len(set(g.short.tolist())) - 1
+
+
+def test_packing_encodes_each_short_piece_once():
+    import numpy as np
+
+    from gridwarden.llm import packing
+
+    asked = []
+
+    def encode(piece):
+        asked.append(piece)
+        return [ord(c) for c in piece]
+
+    known = packing.PieceIds(encode, packing.id_type(300))
+    long = "x" * 60
+    got = [np.frombuffer(known.of(t), "<u2").tolist() for t in ("ab cd ab", "", f"cd {long} ab")]
+    assert got == [[ord(c) for c in t] for t in ("ab cd ab", "", f"cd {long} ab")]
+    assert sorted(asked) == sorted(["ab", " cd", " ab", "cd", f" {long}"]) and f" {long}" not in known
+    assert packing.PieceIds(encode, packing.id_type(1 << 20)).of("é") == (233).to_bytes(4, "little")
