@@ -30,6 +30,8 @@ BAND_RATIO = 1.5
 SPARE = 2  # segments beyond H + 1, so that few sets must use a poor one
 SKETCH = 1024  # bits that tell how many elements two sets differ in at least, for sets up to twice as large
 BITS = [f"s{i}" for i in range(SKETCH // 64)]
+MOST_WIDE = 1 << 20  # bits of the widest sketch of a set that has more elements than SKETCH
+KEY_BITS = 44  # of a key that are kept: what meets by chance under shorter keys is checked as well
 TALLIES = 1 << 18  # counts by which elements are ordered from rare to frequent, however many there are
 HUB_SPLIT = 50_000
 MOST_SIZE = 1 << 40
@@ -162,13 +164,15 @@ def keys_of(elements: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.
 
 
 def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Threshold) -> DataFrame:
-    """``id, n, d1, d2, s0.., index_keys, probe_keys`` per row of ``docs``: the set's size, its digest,
-    its sketch and its keys. Of equal sets one task emits keys once."""
+    """``id, n, d1, d2, s0.., wide, index_keys, probe_keys`` per row of ``docs``: the set's size, its
+    digest, its sketch (large sets have a wide one as well) and its keys. Of equal sets one task emits
+    keys once."""
+    unused = np.uint64(64 - KEY_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for part in slices(batches, ROUND_ROWS):
-            sizes, low, high, bits, index, probe = [], [], [], [], [], []
+            sizes, low, high, bits, wide, index, probe = [], [], [], [], [], [], []
             for i, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 elements = shingles(value, width)
                 digest = hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
@@ -176,6 +180,7 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Thresh
                 low.append(int.from_bytes(digest[:8], "little", signed=True))
                 high.append(int.from_bytes(digest[8:], "little", signed=True))
                 bits.append(parities(elements))
+                wide.append(wide_parities(elements) if len(elements) > SKETCH else None)
                 if not len(elements) or i is None or digest in seen:
                     index.append(None)
                     probe.append(None)
@@ -183,8 +188,8 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Thresh
                 if len(seen) < SEEN_SETS:
                     seen.add(digest)
                 a, b = keys_of(elements, threshold)
-                index.append(a.view(np.int64))
-                probe.append(b.view(np.int64))
+                index.append((a >> unused).view(np.int64))
+                probe.append((b >> unused).view(np.int64))
             found = np.array(bits, np.int64).reshape(-1, len(BITS))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -193,15 +198,16 @@ def set_rows(docs: DataFrame, key: str, text: str, width: int, threshold: Thresh
                     pa.array(low, pa.int64()),
                     pa.array(high, pa.int64()),
                     *(pa.array(found[:, i]) for i in range(len(BITS))),
+                    pa.array(wide, pa.binary()),
                     pa.array(index, pa.list_(pa.int64())),
                     pa.array(probe, pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "d1", "d2", *BITS, "index_keys", "probe_keys"],
+                names=["id", "n", "d1", "d2", *BITS, "wide", "index_keys", "probe_keys"],
             )
 
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     numbers = ", ".join(f"{c} bigint" for c in ("id", "n", "d1", "d2", *BITS))
-    return rows.mapInArrow(run, f"{numbers}, index_keys array<bigint>, probe_keys array<bigint>")
+    return rows.mapInArrow(run, f"{numbers}, wide binary, index_keys array<bigint>, probe_keys array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: Threshold) -> DataFrame:
@@ -251,7 +257,7 @@ def near_groups(
     nothing and have a null component. Rows of one id are one node. Shingles are compared by 64-bit
     hashes; ids are whole numbers. An empty table gives no rows; other columns are ignored.
 
-    Equal sets are one class, represented by its smallest id. Classes that share a key first meet
+    Equal sets are one class, represented by its smallest id; under keys it goes by half of its digest. Classes that share a key first meet
     the key's hub, the class with the most shared keys: in a large group of near copies that is
     its origin, so the group becomes one component in a number of checks that is linear in its
     size. Classes that share a key and are still in different components are then joined once more,
@@ -263,7 +269,7 @@ def near_groups(
     scratch = Scratch(docs.sparkSession)
     sets = scratch.write(set_rows(docs, key, text, width, threshold), "sets")
     nodes = sets.where("n > 0 and id is not null")
-    classes = nodes.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    classes = scratch.write(nodes.groupBy("d1", "d2").agg(F.min("id").alias("rep")), "classes")
     class_of = scratch.write(
         sets.select("id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left").select(
             "id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep")
@@ -271,11 +277,12 @@ def near_groups(
         "class_of",
     )
     sketches = scratch.write(_sketches(nodes), "sketches")
-    met = _meetings(scratch, sets, class_of)
+    wides = scratch.write(_wide_sketches(nodes), "wides")
+    met = _meetings(scratch, sets)
     scratch.drop("sets")
     texts = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    links = _links(scratch, texts, met, sketches, width, threshold)
-    scratch.drop("sketches")
+    links = _links(scratch, texts, met, classes, sketches, wides, width, threshold)
+    scratch.drop("classes", "sketches", "wides")
     # An id whose rows have different texts is in several classes, and joins them.
     of_id = class_of.where("rep is not null").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
     several = of_id.where("a <> b").select("id", "a")
@@ -306,39 +313,64 @@ def _may_link(a: str, b: str, threshold: Threshold) -> str:
     return f"({a}.n is null or {b}.n is null or ({sizes} and {alike}))"
 
 
-def _meetings(scratch: Scratch, sets: DataFrame, class_of: DataFrame) -> DataFrame:
-    """``key, rep, probe, c``: the classes under each key that several share and one probes, and
-    how many they are."""
+def _wide_sketches(nodes: DataFrame) -> DataFrame:
+    """``id, n, wide`` once for each id that has a wide sketch; null where rows of one id have different sets."""
+    same = (F.min("d1") == F.max("d1")) & (F.min("d2") == F.max("d2"))
+    large = nodes.groupBy("id").agg(F.when(same, F.min("n")).alias("n"), F.when(same, F.max("wide")).alias("wide"))
+    return large.where("wide is not null")
+
+
+def _not_ruled_out(pairs: DataFrame, wides: DataFrame, threshold: Threshold) -> DataFrame:
+    """The ``pairs`` (``a, b, split``) whose wide sketches allow a link, and those of which one has none."""
+    x, y = (wides.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}")) for c in "ab")
+    both = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", "split", "na", "wa", "nb", "wb")
+    short, whole = threshold.numerator, threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, ROUND_ROWS):
+            keep = []
+            for na, wa, nb, wb in zip(*(part.column(i).to_pylist() for i in range(3, 7)), strict=True):
+                known = wa is not None and wb is not None
+                keep.append(not known or wide_difference(wa, wb) * (whole + short) <= (na + nb) * (whole - short))
+            yield part.select(["a", "b", "split"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint, split bigint")
+
+
+def _meetings(scratch: Scratch, sets: DataFrame) -> DataFrame:
+    """``key, d1, probe, c``: the classes under each key that several share and one probes, by the
+    first half of their digest, and how many they are."""
     # The most rows there are, so they are dealt by key once, and each sees what its key holds.
-    index = sets.select(F.explode("index_keys").alias("key"), "id", F.lit(0).cast("tinyint").alias("probe"))
-    probes = sets.select(F.explode("probe_keys").alias("key"), "id", F.lit(1).cast("tinyint").alias("probe"))
+    index = sets.select(F.explode("index_keys").alias("key"), "d1", F.lit(0).cast("tinyint").alias("probe"))
+    probes = sets.select(F.explode("probe_keys").alias("key"), "d1", F.lit(1).cast("tinyint").alias("probe"))
     of_key = Window.partitionBy("key")
-    shared = index.union(probes).select(
-        "key", "id", "probe", (F.min("id").over(of_key) < F.max("id").over(of_key)).alias("several"), F.max("probe").over(of_key).alias("p")
-    )
-    shared = shared.where("several and p = 1").select("key", "id", "probe")
-    # Ids give way to their classes; of a class one row per key stays.
-    member = class_of.where("rep is not null").select("id", "rep").distinct()
-    met = (
-        shared.join(member, "id")
-        .groupBy("key", "rep")
-        .agg(F.max("probe").alias("probe"))
-    )
-    met = scratch.write(met, "met")
-    size = met.groupBy("key").agg(F.count("*").alias("c"), F.max("probe").alias("p")).where("c > 1 and p = 1")
-    return scratch.write(met.join(size.select("key", "c"), "key"), "met_sized")
+    several = F.min("d1").over(of_key) < F.max("d1").over(of_key)
+    shared = index.union(probes).select("key", "d1", "probe", several.alias("several"), F.max("probe").over(of_key).alias("p"))
+    shared = shared.where("several and p = 1")
+    # Of a class one row per key stays; rows still lie together by key, so this takes no further shuffle.
+    met = shared.groupBy("key", "d1").agg(F.max("probe").alias("probe"))
+    return scratch.write(met.withColumn("c", F.count("*").over(of_key)), "met")
 
 
 def _links(
-    scratch: Scratch, texts: DataFrame, met: DataFrame, sketches: DataFrame, width: int, threshold: Threshold
+    scratch: Scratch,
+    texts: DataFrame,
+    met: DataFrame,
+    classes: DataFrame,
+    sketches: DataFrame,
+    wides: DataFrame,
+    width: int,
+    threshold: Threshold,
 ) -> DataFrame:
-    weight = met.groupBy("rep").agg(F.sum(F.col("c") - 1).alias("w"))
-    rows = scratch.write(met.join(weight, "rep").select("key", "rep", "probe", "w"), "weighed")
-    scratch.drop("met", "met_sized")
-    hubs = rows.groupBy("key").agg(F.max(F.struct("w", F.negative("rep").alias("minus"), "probe")).alias("hub"))
-    hubs = hubs.select("key", (-F.col("hub.minus")).alias("b"), F.col("hub.w").alias("bw"), F.col("hub.probe").alias("bp"))
+    weight = met.groupBy("d1").agg(F.sum(F.col("c") - 1).alias("w")).join(classes.select("d1", "rep"), "d1")
+    rows = scratch.write(met.join(weight, "d1").select("key", "rep", "probe", "w"), "weighed")
+    scratch.drop("met")
+    hub = F.max(F.struct("w", F.negative("rep").alias("minus"), "probe")).over(Window.partitionBy("key"))
+    rows = rows.withColumn("hub", hub).select(
+        "key", "rep", "probe", "w", (-F.col("hub.minus")).alias("b"), F.col("hub.w").alias("bw"), F.col("hub.probe").alias("bp")
+    )
     # A hub has then met all of its key, so of the key the others remain.
-    rows = scratch.write(rows.join(hubs, "key").where("rep <> b"), "others")
+    rows = scratch.write(rows.where("rep <> b"), "others")
     scratch.drop("weighed")
     pairs = (
         rows.where("probe + bp > 0")
@@ -348,7 +380,8 @@ def _links(
     # Sizes and sketches rule most pairs out before any text is read.
     x, y = sketches.alias("x"), sketches.alias("y")
     pairs = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
-    pairs = scratch.write(pairs.where(_may_link("x", "y", threshold)).select("a", "b", "split"), "pairs")
+    pairs = scratch.write(pairs.where(_may_link("x", "y", threshold)).select("a", "b", "split"), "alike")
+    pairs = scratch.write(_not_ruled_out(pairs, wides, threshold), "pairs")
     links = scratch.write(verified(pairs, texts, width, threshold), "links")
     roots = connected_components(links)
     named = rows.select("key", "rep", "probe").join(roots, rows["rep"] == roots["node"], "left")
@@ -356,10 +389,11 @@ def _links(
     split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("probe").alias("p"))
     split = split.where("lo <> hi and p = 1").select("key")
     apart = scratch.write(named.join(split, "key", "left_semi").select("rep", "comp").distinct(), "apart")
-    scratch.drop("others", "pairs", "named")
-    rest = scratch.write(_rarest_meetings(scratch, texts, apart, sketches, width, threshold), "pairs_apart")
+    scratch.drop("others", "alike", "pairs", "named")
+    rest = scratch.write(_rarest_meetings(scratch, texts, apart, sketches, width, threshold), "alike_apart")
+    rest = scratch.write(_not_ruled_out(rest, wides, threshold), "pairs_apart")
     more = scratch.write(verified(rest, texts, width, threshold), "links_apart")
-    scratch.drop("apart", "rarest", "sketches_apart", "pairs_apart")
+    scratch.drop("apart", "rarest", "sketches_apart", "alike_apart", "pairs_apart")
     return links.union(more)
 
 
@@ -371,6 +405,22 @@ def parities(elements: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(place, minlength=SKETCH).astype(np.uint8) & 1).view(np.int64)
 
 
+def wide_parities(elements: np.ndarray) -> bytes:
+    """As ``parities``, with a power of two of bits that is at least the set's size, up to MOST_WIDE."""
+    bits = min(MOST_WIDE, 1 << (len(elements) - 1).bit_length())
+    place = (mix(elements ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def wide_difference(one: bytes, other: bytes) -> int:
+    """In how many bits two wide sketches differ. The longer is folded: its halves are added up."""
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _tallies(read: DataFrame, width: int) -> np.ndarray:
     """How many elements of the sets of ``read`` (``rep, comp, t``) hash to each of TALLIES counts."""
 
@@ -420,7 +470,7 @@ def _rarest_meetings(
                 chosen.append(elements[order[: differ + 1]])
             lengths = np.array([len(x) for x in chosen])
             columns = [np.repeat(part.column(i).to_numpy(), lengths) for i in (0, 1)]
-            keys = np.concatenate(chosen).view(np.int64)
+            keys = (np.concatenate(chosen) >> np.uint64(64 - KEY_BITS)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, *columns)], names=["key", "rep", "comp"])
 
     keyed = _texts_of(texts, apart).mapInArrow(rarest, "key bigint, rep bigint, comp bigint")

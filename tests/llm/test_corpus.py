@@ -403,3 +403,32 @@ def test_packing_encodes_each_short_piece_once():
     assert got == [[ord(c) for c in t] for t in ("ab cd ab", "", f"cd {long} ab")]
     assert sorted(asked) == sorted(["ab", " cd", " ab", "cd", f" {long}"]) and f" {long}" not in known
     assert packing.PieceIds(encode, packing.id_type(1 << 20)).of("é") == (233).to_bytes(4, "little")
+
+
+def test_wide_sketches_rule_out_large_sets_and_no_link(spark, make_docs):
+    import numpy as np
+
+    rnd = random.Random(5)
+    threshold = jaccard.Threshold()
+
+    def hashes(n):
+        return np.unique(np.array([rnd.getrandbits(64) for _ in range(n)], np.uint64))
+
+    for size, apart in ((1100, 40), (2040, 30), (5000, 250), (9000, 20)):
+        one = hashes(size)
+        other = np.unique(np.concatenate([one[apart:], hashes(apart // 2)]))
+        differ = len(np.setxor1d(one, other))
+        assert jaccard.wide_difference(jaccard.wide_parities(one), jaccard.wide_parities(other)) <= differ
+    far = jaccard.wide_difference(jaccard.wide_parities(hashes(8000)), jaccard.wide_parities(hashes(8400)))
+    assert far > threshold.differ(16400) > jaccard.SKETCH * 3 // 4  # a sketch of SKETCH bits differs in about half of them
+
+    words = [f"w{i}" for i in range(6000)]
+    alike = words[:5900] + ["x"] * 100
+    half = words[:4000] + [f"y{i}" for i in range(2000)]
+    rows = [(i, " ".join(t), "s") for i, t in enumerate((words, alike, half, half[:-20]), 1)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_groups(make_docs(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3}
+    sets = jaccard.set_rows(make_docs(rows), "doc_id", "text", 3, threshold)
+    pairs = spark.createDataFrame([(1, 2, 1), (1, 3, 1), (3, 4, 1), (2, 9, 1)], "a long, b long, split long")
+    kept = jaccard._not_ruled_out(pairs, jaccard._wide_sketches(sets), threshold)
+    assert sorted((r["a"], r["b"]) for r in kept.collect()) == [(1, 2), (2, 9), (3, 4)]
